@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,34 +12,31 @@ from tidemark.config import Contract
 # Files that are never data.
 IGNORED_NAMES = ("Thumbs.db", "_READY", "_PROCESSING")
 
-LISTING_SCHEMA = "path string, file string, length bigint, kind string"
-
 
 class IngestionError(ValueError):
     """The drop folder holds something a batch cannot contain."""
 
 
 def list_files(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """``(path, file, length, kind)`` of all files below ``root``.
+    """``(path, file, length, kind)`` of all files below ``root``; contents are not read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    return classify(listed, contract)
+
 
-    ``kind`` is ``tabular``, ``image`` or ``unknown`` by the contract's
-    extensions. Contents are not read. Hidden and system files are left out.
+def classify(files: DataFrame, contract: Contract, keep: Sequence[str] = ()) -> DataFrame:
+    """Name and kind of ``binaryFile`` rows, hidden and system files left out.
+
+    ``kind`` is ``tabular``, ``image`` or ``unknown`` by the contract's extensions.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", "length")
-    )
-    name = F.regexp_extract("path", r"([^/]+)$", 1)
     extension = F.regexp_extract("file", r"\.([^.]+)$", 1)
     kind = (
         F.when(extension.isin(*contract.tabular_extensions), "tabular")
         .when(extension.isin(*contract.image_extensions), "image")
         .otherwise("unknown")
     )
-    named = listed.withColumn("file", name)
-    return named.where(~F.col("file").startswith(".") & ~F.col("file").isin(*IGNORED_NAMES)).select(
-        "path", "file", "length", kind.alias("kind")
-    )
+    named = files.withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1))
+    wanted = ~F.col("file").startswith(".") & ~F.col("file").isin(*IGNORED_NAMES)
+    return named.where(wanted).select("path", "file", "length", kind.alias("kind"), *keep)
 
 
 def listing_counts(files: DataFrame) -> dict[str, int]:

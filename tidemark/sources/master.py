@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.missing import col
 from tidemark.operators.merge import drop_duplicates, upsert
@@ -146,7 +147,7 @@ class MasterTable:
             merged.drop(*transient).repartition(F.col("bucket"), self._slice())
             .write.mode("overwrite").partitionBy("bucket").parquet(target)
         )
-        written = self._count(target)
+        written = self._count(target, merged.drop(*transient).schema)
         buckets = {**stored, **{b: (version, written.get(b, 0)) for b in touched}}
         total = sum(rows for _, rows in buckets.values())
         commit = Commit(
@@ -160,11 +161,9 @@ class MasterTable:
         slices = int(self._spark.conf.get("spark.sql.shuffle.partitions")) // self._n + 1
         return F.pmod(F.hash(*[col(k) for k in self._key]), F.lit(slices))
 
-    def _count(self, path: str) -> dict[int, int]:
+    def _count(self, path: str, schema: T.StructType) -> dict[int, int]:
         """Rows per bucket of a written version, from the Parquet footers."""
-        written = self._spark.read.parquet(path)
-        if "bucket" not in written.columns:
-            return {}
+        written = self._spark.read.schema(schema).parquet(path)
         rows = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
         return {r["bucket"]: r["n"] for r in rows}
 
