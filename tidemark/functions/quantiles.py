@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import measured
+
 SKETCH_ACCURACY = 10_000
 GRID = 500
 # A bracket with at most this many rows is read out exactly.
@@ -119,7 +121,7 @@ def _at(values: Column, rank: int) -> Column:
 def grouped_quantile(
     df: DataFrame, by: Sequence[str], value: str, q: float, out: str, accuracy: int = 100_000
 ) -> DataFrame:
-    """Exact interpolated quantile per group, lazily.
+    """Exact interpolated quantile per group.
 
     A sketch per group brackets the rank. Rows below and above the bracket fold
     into one row each before the shuffle; only the distinct values inside it
@@ -139,7 +141,7 @@ def grouped_quantile(
         .when(F.col("__v") > F.col("__hi"), F.lit(float("inf")))
         .otherwise(F.col("__v"))
     )
-    counts = rows.join(bounds, list(by)).groupBy(*by, slot.alias("__slot")).agg(
+    counts = rows.join(measured(bounds), list(by)).groupBy(*by, slot.alias("__slot")).agg(
         F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
     )
     ordered = Window.partitionBy(*by).orderBy("__slot")

@@ -35,12 +35,16 @@ def validate_files(raw: DataFrame, contract: Contract) -> None:
     problems = check.column_problems(data, list(contract.columns))
     if problems:
         check.raise_first([], problems, contract)
-    report = check.rule_report(raw, check.contract_rules(raw, contract), by=["file_name"])
-    bad = report.where(F.col("n_bad") > 0).orderBy("file_name").limit(10).collect()
-    if bad:
-        first = [r for r in bad if r["file_name"] == bad[0]["file_name"]]
-        error = check.ContractTypeViolation if first[0]["rule"] == "type" else check.ContractViolation
-        raise error(f"{first[0]['file_name']}: {[(r['rule'], r['column'], r['n_bad']) for r in first]}")
+    rules = check.contract_rules(raw, contract)
+    report = check.rule_report(raw, rules, by=["file_name"])
+    bad = report.where(F.col("n_bad") > 0)
+    name = bad.agg(F.min("file_name").alias("n")).first()["n"]
+    if name is not None:
+        order = {(r.rule, r.column): i for i, r in enumerate(rules)}
+        found = bad.where(F.col("file_name") == name).collect()  # one row per rule
+        found.sort(key=lambda r: order[r["rule"], r["column"]])
+        error = check.ContractTypeViolation if found[0]["rule"] == "type" else check.ContractViolation
+        raise error(f"{name}: {[(r['rule'], r['column'], r['n_bad']) for r in found]}")
     if contract.primary_key:
         twice = check.duplicate_keys(raw, ["file_name", *contract.primary_key]).limit(10).collect()
         if twice:

@@ -1,8 +1,8 @@
 """Declarative features: learn on train, apply as column expressions.
 
-``fit`` runs at most four aggregates, whatever the number of features: moments,
-medians, value counts of categories, and scaler statistics of the imputed and
-clipped values. What it learns is a small ``FeatureModel``; ``transform`` is a
+``fit`` runs a handful of aggregates, whatever the number of features: one count
+of category values, means, a few rounds for exact medians, and the scaler
+statistics of the imputed and clipped values. What it learns is a small ``FeatureModel``; ``transform`` is a
 single projection without any shuffle or Python.
 """
 
@@ -13,10 +13,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import Feature, FeatureSchema
+from tidemark.functions.joins import measured
 from tidemark.functions.missing import col, present
 from tidemark.functions.quantiles import exact_quantiles
 
@@ -176,75 +178,96 @@ def _filled_text(df: DataFrame, f: Feature, fills: Mapping[str, Any]) -> Column:
 def fit(
     df: DataFrame, schema: FeatureSchema, max_categories: int = MAX_CATEGORIES
 ) -> FeatureModel:
-    """Learn fills, scales and categories from the training frame."""
+    """Learn fills, scales and categories from the training frame.
+
+    The feature columns are kept (memory, then disk) while the passes run, so a
+    frame behind a join is computed once.
+    """
     missing = [c for c in schema.names if c not in df.columns]
     if missing:
         raise ValueError(f"missing features: {missing}")
-    fills = _learn_fills(df, schema)
-    categories = _learn_categories(df, schema, fills, max_categories)
-    scales = _learn_scales(df, schema, fills)
+    narrow = df.select(*[col(c) for c in schema.names])
+    kept = df.storageLevel.useMemory or df.storageLevel.useDisk
+    if not kept:
+        narrow.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fills, categories = _learn_values(narrow, schema, max_categories)
+        fills.update(_learn_centres(narrow, schema))
+        scales = _learn_scales(narrow, schema, fills)
+    finally:
+        if not kept:
+            narrow.unpersist()
     return FeatureModel(schema, fills, scales, categories)
 
 
-def _learn_fills(df: DataFrame, schema: FeatureSchema) -> dict[str, Any]:
+def _learn_centres(df: DataFrame, schema: FeatureSchema) -> dict[str, Any]:
+    """Means and exact medians of the numeric features that want them."""
     fills: dict[str, Any] = {}
     means = [f.name for f in schema.features if f.impute == "mean"]
     if means:
-        row = df.agg(*[F.avg(present(df, n).cast("double")).alias(f"m_{i}") for i, n in enumerate(means)])
-        first = row.first()
-        fills.update({n: first[f"m_{i}"] for i, n in enumerate(means)})
+        averages = [F.avg(present(df, n).cast("double")).alias(f"m_{i}") for i, n in enumerate(means)]
+        row = df.agg(*averages).first()
+        fills.update({n: row[f"m_{i}"] for i, n in enumerate(means)})
     medians = {f.name: (col(f.name), 0.5) for f in schema.features if f.impute == "median"}
     if medians:
         fills.update(exact_quantiles(df, medians))
-    modes = [f for f in schema.features if f.impute == "most_frequent"]
-    if modes:
-        fills.update(most_frequent(df, modes))
-    for f in schema.features:
-        if f.impute == "constant":
-            fills[f.name] = DEFAULT_FILL[f.type] if f.fill_value is None else f.fill_value
     return fills
 
 
-def most_frequent(df: DataFrame, features: Sequence[Feature]) -> dict[str, Any]:
-    """Most frequent value per feature, the smallest one on a tie."""
+def _learn_values(
+    df: DataFrame, schema: FeatureSchema, limit: int
+) -> tuple[dict[str, Any], dict[str, tuple[str, ...]]]:
+    """Constant and most frequent fills, and the categories of the encoders.
+
+    One count of distinct values serves all features.
+    """
+    fills = {
+        f.name: DEFAULT_FILL[f.type] if f.fill_value is None else f.fill_value
+        for f in schema.features
+        if f.impute == "constant"
+    }
+    categories = {
+        f.name: tuple(str(v) for v in f.order)
+        for f in schema.features
+        if f.type == "categorical" and f.encoding != "onehot" and f.order is not None
+    }
+    listed = [f for f in schema.features if f.type == "categorical" and f.name not in categories]
+    modes = [f for f in schema.features if f.impute == "most_frequent"]
+    counted = list(dict.fromkeys(f.name for f in [*listed, *modes]))
+    if not counted:
+        return fills, categories
+    counts = value_counts(df, counted).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if modes:
+            fills.update(most_frequent(counts, modes))
+        if listed:
+            # One value more than allowed is enough to refuse.
+            wanted = counts.where(F.col("feature").isin(*[f.name for f in listed]))
+            rows = wanted.select("feature", "value").limit((limit + 1) * len(listed) + 1).collect()
+    finally:
+        counts.unpersist()
+    for f in listed:
+        found = {r["value"] for r in rows if r["feature"] == f.name}
+        if None in found:
+            found.remove(None)
+            if fills.get(f.name) is not None:
+                found.add(str(fills[f.name]))
+        if len(found) > limit or len(rows) > (limit + 1) * len(listed):
+            raise ValueError(f"more than {limit} categories in an encoded feature near {f.name!r}")
+        categories[f.name] = tuple(sorted(found))
+    return fills, categories
+
+
+def most_frequent(counts: DataFrame, features: Sequence[Feature]) -> dict[str, Any]:
+    """Most frequent value per feature from ``value_counts``, the smallest one on a tie."""
     numeric = {f.name for f in features if f.type == "numeric"}
-    counts = value_counts(df, [f.name for f in features]).where(F.col("value").isNotNull())
     # Numbers must tie-break as numbers, text as text.
     as_number = F.when(F.col("feature").isin(*numeric), F.col("value").cast("double")) if numeric else F.lit(0.0)
-    best = counts.groupBy("feature").agg(
-        F.min_by("value", F.struct((-F.col("n")).alias("n"), as_number.alias("d"), F.col("value"))).alias("value")
-    )
+    rank = F.struct((-F.col("n")).alias("n"), as_number.alias("d"), F.col("value"))
+    wanted = counts.where(F.col("value").isNotNull() & F.col("feature").isin(*[f.name for f in features]))
+    best = wanted.groupBy("feature").agg(F.min_by("value", rank).alias("value"))
     found = {r["feature"]: r["value"] for r in best.collect()}  # one row per feature
-    return {
-        f.name: (float(found[f.name]) if f.name in numeric else found[f.name])
-        for f in features
-        if f.name in found
-    }
-
-
-def _learn_categories(
-    df: DataFrame, schema: FeatureSchema, fills: Mapping[str, Any], limit: int
-) -> dict[str, tuple[str, ...]]:
-    out: dict[str, tuple[str, ...]] = {}
-    learned = []
-    for f in schema.features:
-        if f.type != "categorical":
-            continue
-        if f.encoding in ("ordinal", "binary") and f.order is not None:
-            out[f.name] = tuple(str(v) for v in f.order)
-        else:
-            learned.append(f)
-    if not learned:
-        return out
-    filled = df.select(*[_filled_text(df, f, fills).alias(f.name) for f in learned])
-    counts = value_counts(filled, [f.name for f in learned]).where(F.col("value").isNotNull())
-    rows = counts.select("feature", "value").limit(limit * len(learned) + 1).collect()
-    for f in learned:
-        values = sorted(r["value"] for r in rows if r["feature"] == f.name)
-        if len(values) > limit or len(rows) > limit * len(learned):
-            raise ValueError(f"more than {limit} categories in an encoded feature near {f.name!r}")
-        out[f.name] = tuple(values)
-    return out
+    return {n: float(v) if n in numeric else v for n, v in found.items()}
 
 
 def _learn_scales(
@@ -269,9 +292,9 @@ def _learn_scales(
 
 
 def target_encode(df: DataFrame, column: str, target: str, out: str) -> DataFrame:
-    """Mean target per category, joined back (the means are pre-aggregated)."""
+    """Mean target per category, joined back; few categories spare the frame a shuffle."""
     means = df.groupBy(col(column).alias("__c")).agg(F.avg(col(target)).alias(out))
-    return df.join(means, col(column).eqNullSafe(F.col("__c")), "left").drop("__c")
+    return df.join(measured(means), col(column).eqNullSafe(F.col("__c")), "left").drop("__c")
 
 
 def standard_scaled(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.buckets import cumulative_counts, quantile_from_counts
 from tidemark.functions.missing import col
 from tidemark.functions.quantiles import grouped_quantile
-from tidemark.operators.ordered import last_before
+from tidemark.operators.ordered import chunk_bounds, last_before
 from tidemark.operators.scoring import cumulative_histogram
 
 # Default upper bounds of a request duration histogram, seconds.
@@ -86,6 +86,8 @@ def counter_increases(
     is the increase. Samples of one series at one instant are merged first (the
     largest counts). The first sample of a series has no increase.
     """
+    if bounds is None:
+        bounds = chunk_bounds(df, ts)
     samples = df.groupBy(*[col(s) for s in series], col(ts)).agg(F.max(col(value)).alias(value))
     lagged = last_before(
         samples, {"__prev": col(value)}, by=series, order=[ts], bounds=bounds
@@ -130,13 +132,15 @@ def sustained_alerts(
     ts: str,
     condition: Column,
     hold_seconds: int,
-    bounds: Sequence[Column] | None = None,
+    bounds: Sequence[Column] = (),
 ) -> DataFrame:
     """Stretches during which the condition held without a break for the hold time.
 
     ``evaluations`` has one row per series and evaluation time. Each output row
     is one alert: ``active_since``, ``firing_at`` (first evaluation at least the
     hold time later), ``last_true_at`` and the number of true evaluations.
+    Evaluations come from windows, so a series is as long as its time range; for
+    longer ones pass ``chunk_bounds``.
     """
     flags = evaluations.select(
         *[col(s) for s in series], col(ts), F.coalesce(condition, F.lit(False)).alias("__on")
@@ -169,7 +173,8 @@ def resample_last(
 ) -> DataFrame:
     """Last present value of each series in every step that has one."""
     rows = df.where(col(value).isNotNull())
-    position = F.struct(col(ts), *[col(t) for t in tie])
+    # A bare timestamp keeps the aggregate a hash aggregate.
+    position = F.struct(col(ts), *[col(t) for t in tie]) if tie else col(ts)
     grouped = rows.groupBy(F.window(col(ts), step).alias("w"), *[col(s) for s in series]).agg(
         F.max_by(col(value), position).alias(value)
     )

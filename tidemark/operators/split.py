@@ -107,15 +107,15 @@ def split_counts(tagged: DataFrame) -> DataFrame:
 def period_batches(df: DataFrame, period: str, first: int = 2) -> DataFrame:
     """Add ``batch_name``: the earliest ``first`` periods together, then one each.
 
-    The list of periods is a subquery; it is as long as the number of distinct
-    periods. Rows without a period belong to no batch.
+    Only the ``first`` earliest periods are looked up, by a subquery. Rows
+    without a period belong to no batch.
     """
     if first < 1:
         raise ValueError("the first batch needs at least one period")
     p = present(df, period).cast("bigint")
-    years = df.agg(F.sort_array(F.collect_set(p))).scalar()
-    start = F.get(years, F.lit(0))
-    end = F.get(years, F.least(F.lit(first), F.size(years)) - 1)
+    earliest = df.select(p.alias("p")).where(F.col("p").isNotNull()).distinct().orderBy("p").limit(first)
+    ends = earliest.agg(F.struct(F.min("p").alias("start"), F.max("p").alias("end"))).scalar()
+    start, end = ends.getField("start"), ends.getField("end")
     name = F.when(
         p <= end, F.concat(F.lit("batch_"), start.cast("string"), F.lit("_"), end.cast("string"))
     ).otherwise(F.concat(F.lit("batch_"), p.cast("string")))

@@ -7,6 +7,7 @@ rows, and the result does not depend on partitioning.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -40,7 +41,7 @@ P_YES = {
     "flood_risk_class": 0.4,
 }
 
-_GRAIN = 1 << 53
+_BITS = 53
 
 
 class Draws:
@@ -52,8 +53,9 @@ class Draws:
 
     def uniform(self, purpose: str) -> Column:
         """In the open interval (0, 1)."""
-        h = F.xxhash64(self._id, F.lit(self._seed), F.lit(purpose))
-        return (F.pmod(h, F.lit(_GRAIN)).cast("double") + 0.5) / F.lit(float(_GRAIN))
+        salt = zlib.crc32(f"{self._seed}/{purpose}".encode())
+        h = F.shiftrightunsigned(F.xxhash64(self._id, F.lit(salt)), 64 - _BITS)
+        return (h.cast("double") + 0.5) * F.lit(1.0 / (1 << _BITS))
 
     def integer(self, purpose: str, low: int, high: int) -> Column:
         """Both ends included."""
@@ -83,6 +85,11 @@ class Draws:
         return -F.lit(scale) * (F.ln(self.uniform(purpose + "/1")) + F.ln(self.uniform(purpose + "/2")))
 
 
+def _cents(value: Column) -> Column:
+    """Two decimals, half to even."""
+    return F.rint(value * 100) / 100
+
+
 def quarter_label(year: Column, quarter: Column) -> Column:
     """``YYYY-Qn``."""
     return F.format_string("%d-Q%d", year.cast("int"), quarter.cast("int"))
@@ -106,11 +113,11 @@ def synthetic_rows(
         d.choice("geolocation_name", GEOLOCATIONS).alias("geolocation_name"),
         d.choice("country", COUNTRIES).alias("country"),
         d.integer("year", low, high).alias("year"),
-        F.round(d.lognormal("deflated_gdp_usd", 25.0, 0.6), 2).alias("deflated_gdp_usd"),
-        F.round(F.greatest(d.normal("us_cpi", 250.0, 40.0), F.lit(50.0)), 2).alias("us_cpi"),
+        _cents(d.lognormal("deflated_gdp_usd", 25.0, 0.6)).alias("deflated_gdp_usd"),
+        _cents(F.greatest(d.normal("us_cpi", 250.0, 40.0), F.lit(50.0))).alias("us_cpi"),
         *[c.alias(n) for n, c in yes_no.items()],
         d.choice("income", INCOME_CLASSES, INCOME_WEIGHTS).alias("region_economic_classification"),
-        F.round(d.gamma2("distance", 120.0), 2).alias("straight_distance_to_capital_km"),
+        _cents(d.gamma2("distance", 120.0)).alias("straight_distance_to_capital_km"),
         d.choice("seismic_hazard_zone", RISK_LEVELS).alias("seismic_hazard_zone"),
         d.choice("tropical_cyclone_wind_risk", RISK_LEVELS).alias("tropical_cyclone_wind_risk"),
         d.choice("tornadoes_wind_risk", RISK_LEVELS).alias("tornadoes_wind_risk"),
@@ -131,7 +138,7 @@ def synthetic_rows(
     full = drawn.withColumns(
         {
             "quarter_label": quarter_label(F.col("year"), d.integer("quarter", 1, 4)),
-            "construction_cost_per_m2_usd": F.round(F.greatest(cost, F.lit(0.0)), 2),
+            "construction_cost_per_m2_usd": _cents(F.greatest(cost, F.lit(0.0))),
         }
     )
     missing = sorted(set(contract.columns) - set(full.columns))

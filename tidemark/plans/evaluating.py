@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import measured
 from tidemark.operators import evaluate, split
 from tidemark.plans import query, table
 from tidemark.plans.frames import SALES, SPLIT, TAGGED, sales
@@ -73,5 +74,5 @@ def eval_by_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = (
         split.train_split(rows, SPLIT).groupBy("priority").agg(F.avg("totalprice").alias("prediction"))
     )
-    predicted = tagged.join(means, "priority")
+    predicted = tagged.join(measured(means), "priority")
     return rounded_metrics(evaluate.evaluate_by(predicted, "split_name", "totalprice", "prediction"))
