@@ -126,9 +126,9 @@ def test_store_folds_later_entries_over_earlier(spark, folder):
     store = RunStore(spark, folder)
     assert store.runs().isEmpty() and store.production("m").isEmpty()
     run_id = store.open_run()
-    store.log(run_id, "metric", {"x": 1.0, "gone": None})
-    store.log(run_id, "metric", {"x": 2.0, "y": 3.0})
-    store.log(run_id, "param", {"split_version": 1, "feature_version": 2, "model_version": 3})
+    store.log(run_id, metric={"x": 1.0, "gone": None})
+    store.log(run_id, metric={"x": 2.0, "y": 3.0})
+    store.log(run_id, param={"split_version": 1, "feature_version": 2, "model_version": 3})
     store.close_run(run_id)
     row = store.runs().first()
     assert row["status"] == "FINISHED" and row["metrics"] == {"x": 2.0, "y": 3.0}

@@ -43,22 +43,33 @@ class RunStore:
     def open_run(self, experiment_id: str = "0") -> str:
         run_id = uuid.uuid4().hex
         now = int(time.time() * 1000)
-        self.log(run_id, "attribute", {
+        self.log(run_id, attribute={
             "experiment_id": experiment_id, "status": "RUNNING", "start_time": now,
         })
         return run_id
 
-    def log(self, run_id: str, kind: str, entries: Mapping[str, Any]) -> None:
-        """Append metrics, params, tags or attributes of a run; later entries win."""
-        if kind not in ("metric", "param", "tag", "attribute"):
-            raise ValueError(f"unsupported entry kind {kind!r}")
+    def log(
+        self,
+        run_id: str,
+        metric: Mapping[str, Any] | None = None,
+        param: Mapping[str, Any] | None = None,
+        tag: Mapping[str, Any] | None = None,
+        attribute: Mapping[str, Any] | None = None,
+    ) -> None:
+        """Append entries of a run; later entries win, a None value is no entry."""
         now, seq = int(time.time() * 1000), time.time_ns()
-        rows = [(run_id, kind, k, str(v), now, seq) for k, v in entries.items() if v is not None]
+        kinds = {"metric": metric, "param": param, "tag": tag, "attribute": attribute}
+        rows = [
+            (run_id, kind, key, str(value), now, seq)
+            for kind, entries in kinds.items()
+            for key, value in (entries or {}).items()
+            if value is not None
+        ]
         if rows:
             self._append("events", rows, ops.EVENTS_SCHEMA)
 
     def close_run(self, run_id: str, status: str = "FINISHED") -> None:
-        self.log(run_id, "attribute", {"status": status, "end_time": int(time.time() * 1000)})
+        self.log(run_id, attribute={"status": status, "end_time": int(time.time() * 1000)})
 
     def runs(self) -> DataFrame:
         return ops.runs_from_events(self._read("events", ops.EVENTS_SCHEMA))

@@ -100,17 +100,21 @@ class TrainingJob:
     ) -> dict[str, Any]:
         started = time.time()
         tables = run_split(master, split_spec, self._root, run_id)
-        self.store.log(run_id, "metric", tables.counts)
-        self.store.log(run_id, "param", {**vars(config), **log_params(spec),
-                                         "reference_created": tables.reference_created})
-        self.store.log(run_id, "tag", self._lineage(run_id, tables))
+        self.store.log(
+            run_id,
+            metric=tables.counts,
+            param={**vars(config), **log_params(spec), "reference_created": tables.reference_created},
+            tag=self._lineage(run_id, tables),
+        )
         model, fitted = train(tables.train, features, spec, target)
         model.save(self.store.model_path(run_id))
         measured = evaluate_model(model, tables, target)
-        self.store.log(run_id, "metric", {**fitted, **measured, "training_duration": time.time() - started})
-        self.store.close_run(run_id)
+        self.store.log(
+            run_id, metric={**fitted, **measured, "training_duration": time.time() - started}
+        )
         decision = self.store.promote_if_better(self._name, run_id)
-        self.store.log(run_id, "tag", {"promoted": str(decision["promoted"]).lower()})
+        self.store.log(run_id, tag={"promoted": str(decision["promoted"]).lower()})
+        self.store.close_run(run_id)
         return decision
 
     def _lineage(self, run_id: str, tables: SplitTables) -> Mapping[str, str]:

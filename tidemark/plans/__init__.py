@@ -33,6 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     from tidemark.plans import (  # noqa: F401
-        evaluating, featurizing, linking, merging, modelling, monitoring, scoring, splitting,
-        tracking, validation,
+        evaluating, featurizing, landing, linking, merging, modelling, monitoring, scoring,
+        splitting, tracking, validation,
     )
