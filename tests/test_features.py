@@ -13,7 +13,7 @@ from conftest import rows
 from tidemark.config import Feature, FeatureSchema
 from tidemark.functions.quantiles import exact_quantiles, grouped_quantile
 from tidemark.operators import features as feat
-from tidemark.operators.ordered import chunk_bounds, forward_fill, last_before
+from tidemark.operators.ordered import find_chunks, forward_fill, last_before
 
 
 def one(spark, values, feature, kind="double"):
@@ -197,12 +197,13 @@ def series_frame(spark):
     return data, spark.createDataFrame(data, "s string, t int, i int, v double").repartition(4)
 
 
-@pytest.mark.parametrize("chunks", [0, 1, 7, 60])
+@pytest.mark.parametrize("per_chunk", [1000, 300, 100, 10, 1])
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_chunked_carry_equals_plain_window(spark, chunks, inclusive):
+def test_chunked_carry_equals_plain_window(spark, per_chunk, inclusive):
     data, df = series_frame(spark)
-    bounds = chunk_bounds(df, "t", rows_per_chunk=max(1, 600 // chunks)) if chunks else []
-    got = last_before(df, {"p": F.col("v")}, by=["s"], order=["t", "i"], inclusive=inclusive, bounds=bounds)
+    chunks = find_chunks(df, ["s"], "t", per_chunk)
+    assert (chunks is None) == (per_chunk >= 600)
+    got = last_before(df, {"p": F.col("v")}, by=["s"], order=["t", "i"], inclusive=inclusive, chunks=chunks)
     want, latest = {}, {}
     for s, t, i, v in sorted(data, key=lambda r: (r[1], r[2])):
         if inclusive and v is not None:
@@ -213,18 +214,21 @@ def test_chunked_carry_equals_plain_window(spark, chunks, inclusive):
     assert {r["i"]: r["p"] for r in got.collect()} == want
 
 
-def test_forward_fill(spark):
-    df = spark.createDataFrame([(1, 10.0), (2, None), (3, None), (4, 40.0), (5, 50.0)], "t int, v double")
-    for bounds in ([], [F.lit(3), F.lit(5)]):
-        filled = forward_fill(df, ["v"], order=["t"], bounds=bounds).orderBy("t").collect()
-        assert [r["v"] for r in filled] == [10.0, 10.0, 10.0, 40.0, 50.0]
+def test_only_long_series_are_cut(spark):
+    _, df = series_frame(spark)
+    assert [r[0] for r in find_chunks(df, ["s"], "t", 300).series.collect()] == ["hot"]
+
 
+@pytest.mark.parametrize("per_chunk", [10, 2, 1])
+def test_forward_fill_of_one_series(spark, per_chunk):
+    df = spark.createDataFrame([(1, 10.0), (2, None), (3, None), (4, 40.0), (5, 50.0)], "t int, v double")
+    filled = forward_fill(df, ["v"], order=["t"], rows_per_chunk=per_chunk).orderBy("t").collect()
+    assert [r["v"] for r in filled] == [10.0, 10.0, 10.0, 40.0, 50.0]
 
-def test_chunk_bounds_of_timestamps(spark):
-    df = spark.range(1000).select(F.timestamp_millis(F.col("id") * 1000).cast("timestamp_ntz").alias("t"))
-    cuts = chunk_bounds(df, "t", rows_per_chunk=100)
-    assert len(cuts) == 9 and not chunk_bounds(df, "t", rows_per_chunk=1000)
-    from tidemark.functions.buckets import bucket_index
 
-    sizes = df.groupBy(bucket_index(F.col("t"), cuts).alias("c")).count().collect()
-    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 150
+def test_chunks_of_timestamps_are_even(spark):
+    df = spark.range(1000).select(F.timestamp_millis(F.col("id") * F.col("id")).cast("timestamp_ntz").alias("t"))
+    chunks = find_chunks(df, [], "t", 100)
+    assert len(chunks.cuts) == 9 and find_chunks(df, [], "t", 1000) is None
+    sizes = df.groupBy(chunks.index(F.col("t")).alias("c")).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) < 130

@@ -12,6 +12,7 @@ from tidemark.functions.buckets import bucket_index, quantile_from_counts
 from tidemark.operators import contract as check
 from tidemark.operators import features as feat
 from tidemark.operators import models, monitor, scoring, synth
+from tidemark.operators.ordered import Chunks
 
 
 def test_thresholds():
@@ -87,15 +88,14 @@ def series(spark, data, columns="s string, t bigint, v double"):
     return spark.createDataFrame(data, columns).withColumn("t", F.timestamp_seconds("t"))
 
 
-@pytest.mark.parametrize("bounds", [[], [130, 190]])
-def test_counter_reset(spark, bounds):
+@pytest.mark.parametrize("per_chunk", [100, 3, 1])
+def test_counter_reset(spark, per_chunk):
     df = series(spark, [("a", 0, 10.0), ("a", 60, 15.0), ("a", 120, 3.0), ("a", 180, 4.0), ("a", 180, 3.5),
                         ("a", 300, 10.0), ("b", 0, 7.0)])
-    cuts = [F.timestamp_seconds(F.lit(b)) for b in bounds]
-    steps = monitor.counter_increases(df, ["s"], "t", "v", cuts)
+    steps = monitor.counter_increases(df, ["s"], "t", "v", per_chunk)
     got = [r["increase"] for r in steps.where("s = 'a'").orderBy("t").collect()]
     assert got == [None, 5.0, 3.0, 1.0, 6.0]
-    rates = {(r["s"], r["window_start"].minute): r["rate"] for r in monitor.counter_rate(df, ["s"], "t", "v", 5, cuts).collect()}
+    rates = {(r["s"], r["window_start"].minute): r["rate"] for r in monitor.counter_rate(df, ["s"], "t", "v", 5, per_chunk).collect()}
     assert math.isclose(rates[("a", 0)], 9 / 300) and math.isclose(rates[("a", 5)], 6 / 300) and rates[("b", 0)] == 0
 
 
@@ -115,8 +115,10 @@ def test_gauge_ratio(spark):
 def test_sustained_alerts(spark, bounds):
     on = {0: 1, 30: 1, 60: 0, 90: 1, 120: 1, 150: 1, 180: 0, 210: 1, 240: None, 300: 1, 330: 1, 360: 1, 390: 1}
     df = series(spark, [("a", t, None if v is None else float(v)) for t, v in on.items()] + [("b", 0, 1.0), ("b", 60, 1.0)])
-    cuts = [F.timestamp_seconds(F.lit(b)) for b in bounds]
-    got = monitor.sustained_alerts(df, ["s"], "t", F.col("v") == 1, 60, cuts)
+    cuts = [f"1970-01-01 00:{b // 60:02d}:{b % 60:02d}" for b in bounds]
+    long_series = spark.createDataFrame([("a",)], "__long_0 string")
+    chunks = Chunks(long_series, cuts, "timestamp") if cuts else None
+    got = monitor.sustained_alerts(df, ["s"], "t", F.col("v") == 1, 60, chunks)
     found = sorted((r["s"], *(int(r[c].timestamp()) for c in ("active_since", "firing_at", "last_true_at")), r["n_evaluations"])
                    for r in got.collect())
     # Shorter than the hold time: none. Equal: fires at the last evaluation. Longer: fires on the way.

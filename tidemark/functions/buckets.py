@@ -8,12 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def bucket_index(value: Column, bounds: Sequence[Column]) -> Column:
-    """How many of the ascending ``bounds`` are <= ``value`` (binary search)."""
-    n = len(bounds)
+def bucket_index(value: Column, bounds: Sequence[Column] | Column, n: int | None = None) -> Column:
+    """How many of the ascending ``bounds`` are <= ``value`` (binary search).
+
+    ``bounds`` are single columns, or one array column of ``n`` elements.
+    """
+    if not isinstance(bounds, Column):
+        n, bounds = len(bounds), F.array(*bounds) if bounds else F.array()
+    if n is None:
+        raise ValueError("an array of bounds needs its length")
     if n == 0:
         return F.when(value.isNotNull(), F.lit(0))
-    table = F.array(*bounds)
+    table = bounds
     steps = [1 << k for k in reversed(range(n.bit_length()))]
 
     def advance(pos: Column, step: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.buckets import cumulative_counts, quantile_from_counts
 from tidemark.functions.missing import col
 from tidemark.functions.quantiles import grouped_quantile
-from tidemark.operators.ordered import chunk_bounds, last_before
+from tidemark.operators.ordered import ROWS_PER_CHUNK, Chunks, find_chunks, last_before
 from tidemark.operators.scoring import cumulative_histogram
 
 # Default upper bounds of a request duration histogram, seconds.
@@ -78,7 +78,7 @@ def error_counts(df: DataFrame, by: Sequence[str], status: str, ok: str = "200")
 
 
 def counter_increases(
-    df: DataFrame, series: Sequence[str], ts: str, value: str, bounds: Sequence[Column] | None = None
+    df: DataFrame, series: Sequence[str], ts: str, value: str, rows_per_chunk: int = ROWS_PER_CHUNK
 ) -> DataFrame:
     """One row per sample with ``increase`` since the previous one.
 
@@ -86,11 +86,10 @@ def counter_increases(
     is the increase. Samples of one series at one instant are merged first (the
     largest counts). The first sample of a series has no increase.
     """
-    if bounds is None:
-        bounds = chunk_bounds(df, ts)
     samples = df.groupBy(*[col(s) for s in series], col(ts)).agg(F.max(col(value)).alias(value))
     lagged = last_before(
-        samples, {"__prev": col(value)}, by=series, order=[ts], bounds=bounds
+        samples, {"__prev": col(value)}, by=series, order=[ts],
+        chunks=find_chunks(df, series, ts, rows_per_chunk),
     )
     step = F.when(col(value) < F.col("__prev"), col(value)).otherwise(col(value) - F.col("__prev"))
     return lagged.withColumn("increase", step).drop("__prev")
@@ -98,10 +97,10 @@ def counter_increases(
 
 def counter_rate(
     df: DataFrame, series: Sequence[str], ts: str, value: str, minutes: int = 5,
-    bounds: Sequence[Column] | None = None,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Increase per second of each series in each window."""
-    steps = counter_increases(df, series, ts, value, bounds)
+    steps = counter_increases(df, series, ts, value, rows_per_chunk)
     return _windowed(
         steps, ts, minutes, series,
         (F.coalesce(F.sum("increase"), F.lit(0.0)) / F.lit(minutes * 60.0)).alias("rate"),
@@ -132,7 +131,7 @@ def sustained_alerts(
     ts: str,
     condition: Column,
     hold_seconds: int,
-    bounds: Sequence[Column] = (),
+    chunks: Chunks | None = None,
 ) -> DataFrame:
     """Stretches during which the condition held without a break for the hold time.
 
@@ -140,15 +139,15 @@ def sustained_alerts(
     is one alert: ``active_since``, ``firing_at`` (first evaluation at least the
     hold time later), ``last_true_at`` and the number of true evaluations.
     Evaluations come from windows, so a series is as long as its time range; for
-    longer ones pass ``chunk_bounds``.
+    longer ones pass ``find_chunks``.
     """
     flags = evaluations.select(
         *[col(s) for s in series], col(ts), F.coalesce(condition, F.lit(False)).alias("__on")
     )
-    previous = last_before(flags, {"__was": F.col("__on")}, by=series, order=[ts], bounds=bounds)
+    previous = last_before(flags, {"__was": F.col("__on")}, by=series, order=[ts], chunks=chunks)
     starts = F.when(F.col("__on") & ~F.coalesce("__was", F.lit(False)), col(ts))
     islands = last_before(
-        previous, {"active_since": starts}, by=series, order=[ts], inclusive=True, bounds=bounds
+        previous, {"active_since": starts}, by=series, order=[ts], inclusive=True, chunks=chunks
     ).where(F.col("__on"))
     held = seconds_between(F.col("active_since"), col(ts)) >= hold_seconds
     return (
