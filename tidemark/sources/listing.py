@@ -18,7 +18,10 @@ class IngestionError(ValueError):
 
 
 def list_files(spark: SparkSession, root: str, contract: Contract) -> DataFrame:
-    """``(path, file, length, kind)`` of all files below ``root``; contents are not read."""
+    """``(path, file, length, kind)`` of all files below ``root``; contents are not read.
+
+    The file source passes over files without any bytes.
+    """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     return classify(listed, contract)
 
