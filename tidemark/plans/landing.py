@@ -79,8 +79,8 @@ def _drain(spark: SparkSession, writer: DataStreamWriter, label: str, schema) ->
 
 
 def _wall_clock(name: str) -> F.Column:
-    """Instant as UTC wall-clock time, whatever the session's zone."""
-    return F.convert_timezone(None, F.lit("UTC"), F.col(name).cast("timestamp_ntz")).alias(name)
+    """Back to the wall-clock time the event time was cast from."""
+    return F.col(name).cast("timestamp_ntz").alias(name)
 
 
 # Up to where the watermark has closed windows at the end of the data.
