@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -49,6 +49,11 @@ def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     )
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """The body with the value computed once: an expression inside a lambda is computed for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
 def running_starts(lengths: Column, block: int = 256) -> Column:
     """Sum of all earlier elements for each element of an array of longs.
 
@@ -63,11 +68,15 @@ def running_starts(lengths: Column, block: int = 256) -> Column:
             lambda s: s["out"],
         )
 
-    parts = F.transform(
-        F.sequence(F.lit(0), F.ceil(F.size(lengths) / block).cast("int") - 1),
-        lambda b: F.slice(lengths, b * block + 1, F.lit(block)),
-    )
-    totals = F.transform(parts, lambda p: F.aggregate(p, zero, lambda s, x: s + x))
-    return F.when(F.size(lengths) == 0, none).when(
-        F.size(lengths) <= block, within(lengths, zero)
-    ).otherwise(F.flatten(F.zip_with(parts, within(totals, zero), within)))
+    def blocks(x: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.ceil(F.size(x) / block).cast("int") - 1),
+            lambda b: F.slice(x, b * block + 1, F.lit(block)),
+        )
+
+    def summed(parts: Column) -> Column:
+        totals = F.transform(parts, lambda p: F.aggregate(p, zero, lambda s, x: s + x))
+        return F.flatten(F.zip_with(parts, within(totals, zero), within))
+
+    return let(lengths, lambda x: F.when(F.size(x) == 0, none).when(
+        F.size(x) <= block, within(x, zero)).otherwise(let(blocks(x), summed)))

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import running_starts, texts
+from tidemark.llm.common import let, running_starts, texts
 
 # The known forms.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
@@ -18,53 +18,59 @@ KINDS = ("assign", "access", "hex", "markov")
 
 # What the models judge: strings that could be one secret.
 STRING = r"[A-Za-z0-9+/_=-]{16,}+"
-WORDLIKE = r"[A-Za-z0-9+/_=-]{6,}+"
 CODES = 128
 SMOOTHING = 0.5
 # Least mean log-likelihood ratio of a step, in nats.
 THRESHOLD = 0.7
+SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
-def _pieces(text: Column, pattern: str) -> tuple[Column, Column]:
+def _pieces(text: Column, pattern: str) -> Column:
     """Matches, and the text around them (one more)."""
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    return F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("g"))
 
 
-def _starts(matches: Column, gaps: Column) -> Column:
-    """Where the matches start, in code points."""
-    steps = F.zip_with(gaps, matches, lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("long"))
-    before = running_starts(steps)
-    return F.transform(matches, lambda m, i: before[i] + F.length(gaps[i]))
+def _placed(pieces: Column) -> Column:
+    """The matches as ``(match, start)``, in code points."""
+    def placed(p: Column) -> Column:
+        steps = F.zip_with(p["g"], p["m"], lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("long"))
+        starts = F.zip_with(running_starts(steps), p["g"], lambda at, g: at + F.length(g))
+        return F.zip_with(p["m"], F.slice(starts, 1, F.size(p["m"])), lambda m, at: F.struct(
+            m.alias("match"), at.alias("start")))
 
+    return let(pieces, placed)
 
-def _spans(kind: str, matches: Column, starts: Column) -> Column:
-    return F.transform(matches, lambda m, i: F.struct(
-        starts[i].alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-        (starts[i] + F.length(m)).alias("end"),
-    ))
+
+def _spans(kind: str, placed: Column) -> Column:
+    return F.transform(placed, lambda x: F.struct(
+        x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), (x["start"] + F.length(x["match"])).alias("end")))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text, assign, values, access, hex)``: spans of the known forms, leftmost, per kind."""
+    """``(doc_id, access, hex, assign, gaps, gap_at)``: spans of the known forms, leftmost, per kind.
+
+    And what lies between the assignments, with its places.
+    """
     text = F.col("text")
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    df = texts(docs)
-    for name, pattern in (("access", ACCESS), ("hex", HEX)):
-        matches, gaps = _pieces(text, pattern)
-        df = df.withColumn("has", text.rlike(pattern)).withColumn("m", F.when(F.col("has"), matches)).withColumn(
-            "g", F.when(F.col("has"), gaps)
-        ).withColumn(name, F.when(F.col("has"), _spans(name, F.col("m"), _starts(F.col("m"), F.col("g")))).otherwise(none))
-    matches, gaps = _pieces(text, ASSIGN)
-    df = df.withColumn("has", text.rlike(ASSIGN)).withColumn("m", F.when(F.col("has"), matches)).withColumn(
-        "g", F.when(F.col("has"), gaps).otherwise(F.array("text"))
-    ).withColumn("v", F.when(F.col("has"), F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))))
-    spans = _spans("assign", F.col("m"), _starts(F.col("m"), F.col("g")))
-    long_enough = F.transform(F.col("v"), lambda v: F.length(v) >= ASSIGN_CHARS)
-    df = df.withColumn("ok", F.when(F.col("has"), long_enough)).withColumn(
-        "assign", F.when(F.col("has"), F.filter(spans, lambda s, i: F.col("ok")[i])).otherwise(none)
-    ).withColumn("values", F.when(F.col("has"), F.filter("v", lambda v: F.length(v) >= ASSIGN_CHARS)).otherwise(
-        F.array().cast("array<string>")))
-    return df.select("doc_id", "text", "assign", "access", "hex", "values", F.col("g").alias("gaps"))
+    none = F.array().cast(SPANS)
+    df = texts(docs).select(
+        "doc_id", "text",
+        *[F.when(text.rlike(p), _spans(k, _placed(_pieces(text, p)))).otherwise(none).alias(k)
+          for k, p in (("access", ACCESS), ("hex", HEX))],
+        F.when(text.rlike(ASSIGN), F.struct(
+            _pieces(text, ASSIGN).alias("pieces"), F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)).alias("values"),
+        )).alias("a"),
+    )
+    found = F.zip_with(_placed(F.col("a.pieces")), F.col("a.values"), lambda x, v: F.struct(
+        x["match"].alias("match"), x["start"].alias("start"), (F.length(v) >= ASSIGN_CHARS).alias("ok")))
+    return df.select(
+        "doc_id", "access", "hex",
+        F.when(F.col("a").isNull(), none).otherwise(_spans("assign", F.filter(found, lambda x: x["ok"]))).alias("assign"),
+        F.when(F.col("a").isNull(), F.array("text")).otherwise(F.col("a.pieces.g")).alias("gaps"),
+        F.when(F.col("a").isNull(), F.array(F.lit(0).cast("long"))).otherwise(running_starts(F.zip_with(
+            "a.pieces.g", "a.pieces.m", lambda g, m: (F.length(g) + F.coalesce(F.length(m), F.lit(0))).cast("long"),
+        ))).alias("gap_at"),
+    )
 
 
 def _known(string: Column) -> Column:
@@ -142,27 +148,16 @@ def find_secrets(docs: DataFrame, model: list[float], threshold: float = THRESHO
     A null text is empty; an empty one has no spans. Rows map to rows.
     """
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    df = base_spans(docs)
-    gap_at = F.transform(F.col("gaps"), lambda g: F.length(g).cast("long"))
-    # Gaps start after the earlier gaps and matches; the matches' ends are where the gaps start.
-    matches = F.when(F.size("gaps") > 1, F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(0))).otherwise(
-        F.array().cast("array<string>"))
-    df = df.withColumn("m", matches).withColumn("gap_at", F.when(F.size("gaps") > 1, running_starts(
-        F.zip_with(gap_at, F.col("m"), lambda g, m: g + F.coalesce(F.length(m), F.lit(0)))
-    )).otherwise(F.array(F.lit(0).cast("long"))))
+    none = F.array().cast(SPANS)
 
     def strings(gap: Column, start: Column) -> Column:
-        found, around = _pieces(gap, STRING)
-        at = _starts(found, around)
-        judged = F.transform(found, lambda s, i: F.struct(s.alias("string"), (start + at[i]).alias("start")))
-        odd = F.filter(judged, lambda x: ~_known(x["string"]) & (_ratio(x["string"], table) >= threshold))
-        return F.when(gap.rlike(STRING), F.transform(odd, lambda x: F.struct(
-            x["start"].alias("start"), F.lit(KINDS.index("markov")).alias("kind"),
-            (x["start"] + F.length(x["string"])).alias("end"),
+        judged = F.filter(_placed(_pieces(gap, STRING)), lambda x: ~_known(x["match"]) & (_ratio(x["match"], table) >= threshold))
+        return F.when(gap.rlike(STRING), F.transform(judged, lambda x: F.struct(
+            (start + x["start"]).alias("start"), F.lit(KINDS.index("markov")).alias("kind"),
+            (start + x["start"] + F.length(x["match"])).alias("end"),
         ))).otherwise(none)
 
-    df = df.withColumn("markov", F.flatten(F.zip_with("gaps", "gap_at", strings)))
+    df = base_spans(docs).withColumn("markov", F.flatten(F.zip_with("gaps", "gap_at", strings)))
     return df.select("doc_id", F.sort_array(F.concat("assign", "access", "hex", "markov")).alias("spans"))
 
 
