@@ -1,11 +1,12 @@
 """Repeated strings across a corpus, found at sampled suffixes and removed byte by byte.
 
 The order of suffixes is sampled: in every window of ``min_bytes`` bytes the
-smallest hash of ``ANCHOR`` bytes marks an anchor, so equal windows have equal
-anchors, and about one byte in 170 is one. Windows with the same anchor and
-next to each other form a run. Runs are grouped by anchor; only where an anchor
-repeats are longer common strings looked at, first whole runs, then the windows
-of the runs that differ.
+smallest hash of ``ANCHOR`` bytes, leftmost, is the anchor, so equal windows
+have equal anchors at equal offsets, and about one byte in 170 is an anchor.
+The windows of one anchor form a run. Where an anchor occurs again, longer and
+longer common strings are looked at: whole runs, then blocks of windows by the
+bytes that all windows of a block share, then the windows of blocks that share
+those but differ around them.
 """
 
 from __future__ import annotations
@@ -15,24 +16,34 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.joins import measured
 from tidemark.llm.common import batch_of, chunks, saved, texts
-from tidemark.llm.rolling import BASES, BYTE_CODES, Prefix, U, mix, sliding_min
+from tidemark.llm.rolling import BYTE_CODES, Prefix, U, mix, sliding_min
 
 ANCHOR = 64
 # Window starts handled together; runs end there.
 SLICE = 1 << 18
+# Windows in a block.
+BLOCK = 32
 _PLACE = U(SLICE * 4 - 1)
+# Bits of a run's number that count rows of a task; the bits above count tasks.
+ROW_BITS = 30
 
-RUNS = "anchor long, content long, starts int, tied boolean, key binary, at long"
+RUNS = "anchor long, content long, starts int, lead int, key binary, at long"
 _RUNS = pa.schema([
-    ("anchor", pa.int64()), ("content", pa.int64()), ("starts", pa.int32()), ("tied", pa.bool_()),
+    ("anchor", pa.int64()), ("content", pa.int64()), ("starts", pa.int32()), ("lead", pa.int32()),
     ("key", pa.binary()), ("at", pa.int64()),
 ])
+BLOCKS = "one long, two long, left binary, right binary, run long, place int, starts int"
+_BLOCKS = pa.schema([
+    ("one", pa.int64()), ("two", pa.int64()), ("left", pa.binary()), ("right", pa.binary()),
+    ("run", pa.int64()), ("place", pa.int32()), ("starts", pa.int32()),
+])
 _WINDOWS = pa.schema([("one", pa.int64()), ("two", pa.int64()), ("ref", pa.int64())])
 _KEPT = pa.schema([
     ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
@@ -41,26 +52,18 @@ _KEPT = pa.schema([
 
 
 def runs_of(data: bytes, width: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """``(anchor, content, starts, tied, at)`` of the runs, slice by slice."""
+    """``(anchor, content, starts, lead, at)`` of the runs, slice by slice; ``lead`` is the anchor's place from ``at``."""
     anchor = min(ANCHOR, width)
     for begin in range(0, len(data) - width + 1, SLICE):
         piece = np.frombuffer(data, dtype=np.uint8)[begin : begin + SLICE + width - 1]
         hashes = Prefix(BYTE_CODES[piece])
         grams = hashes.windows(anchor)
-        place = np.arange(len(grams), dtype=U)
-        high = grams & ~_PLACE
-        span = width - anchor + 1
-        first = sliding_min(high | place, span)
-        last = sliding_min(high | (_PLACE - place), span)
-        least = first & ~_PLACE
-        left, right = first & _PLACE, _PLACE - (last & _PLACE)
+        least = sliding_min(grams & ~_PLACE | np.arange(len(grams), dtype=U), width - anchor + 1)
         cut = np.concatenate(([0], np.flatnonzero(least[1:] != least[:-1]) + 1, [len(least)]))
-        starts = np.diff(cut)
-        head, tail = cut[:-1], cut[1:] - 1
-        # More than one place holds the smallest hash: the run may repeat itself.
-        tied = np.maximum.reduceat(right, head) != np.minimum.reduceat(left, head)
+        starts, head, tail = np.diff(cut), cut[:-1], cut[1:] - 1
+        place = (least[head] & _PLACE).astype(np.int64)
         content = mix(hashes.spans(head, tail + width) + starts.astype(U))
-        yield mix(least[head]), content, starts, tied, head + begin
+        yield grams[place], content, starts, place - head, head + begin
 
 
 def _runs(width: int):
@@ -73,29 +76,68 @@ def _runs(width: int):
                 seen[key] = seen.get(key, 0) + 1
                 if seen[key] > 2:
                     continue
-                for anchor, content, starts, tied, at in runs_of(text.as_py().encode(), width):
+                for anchor, content, starts, lead, at in runs_of(text.as_py().encode(), width):
                     yield batch_of(
                         _RUNS, anchor=anchor.view(np.int64), content=content.view(np.int64),
-                        starts=starts.astype(np.int32), tied=tied, key=[key] * len(at), at=at,
+                        starts=starts.astype(np.int32), lead=lead.astype(np.int32), key=[key] * len(at), at=at,
                     )
     return run
 
 
-def _windows(width: int):
-    """The windows of the runs listed with a text, by a 128-bit hash."""
+def blocks_of(data: np.ndarray, run: dict, width: int) -> Iterator[tuple]:
+    """A run's windows by offset of the anchor, ``BLOCK`` offsets together.
+
+    All windows of a block share its core; what they have beyond it on either
+    side is kept as bytes, so that equal blocks, and windows, can be told from
+    the row alone.
+    """
+    place = run["at"] + run["lead"]
+    high, low = run["lead"], run["lead"] - run["starts"] + 1
+    for block in range(low // BLOCK, high // BLOCK + 1):
+        first, last = max(low, block * BLOCK), min(high, block * BLOCK + BLOCK - 1)
+        core, end = place - block * BLOCK, place - block * BLOCK - BLOCK + 1 + width
+        yield core, end, place - last, place - first + width, run["run"], run["lead"] - last, last - first + 1
+
+
+def _blocks(width: int):
+    """The blocks of the runs listed with a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
+            rows: list[tuple] = []
             for row in batch.to_pylist():
                 if row["key"] in seen:
                     continue
                 seen.add(row["key"])
-                data = np.frombuffer(row["text"].encode(), dtype=np.uint8)
+                data = row["text"].encode()
                 for listed in row["listed"]:
-                    codes = BYTE_CODES[data[listed["at"] : listed["at"] + listed["starts"] + width - 1]]
-                    one, two = (Prefix(codes, base).windows(width).view(np.int64) for base in BASES)
-                    ref = np.arange(listed["starts"], dtype=np.int64) + listed["run"] * (SLICE * 4)
-                    yield batch_of(_WINDOWS, one=one, two=two, ref=ref)
+                    for core, end, start, stop, number, place, starts in blocks_of(data, listed, width):
+                        digest = xxhash.xxh3_128_digest(data[core:end])
+                        rows.append((
+                            int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True),
+                            data[start:core], data[end:stop], number, place, starts))
+            if rows:
+                yield batch_of(_BLOCKS, **dict(zip(_BLOCKS.names, map(list, zip(*rows)))))
+    return run
+
+
+def _windows(place_bits: int):
+    """The windows of the blocks, by a hash of core, offset and what lies around the core."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two, ref = [], [], []
+            for row in batch.to_pylist():
+                left, right = row["left"], row["right"]
+                core = row["one"].to_bytes(8, "little", signed=True) + row["two"].to_bytes(8, "little", signed=True)
+                for k in range(row["starts"]):
+                    before = len(left) - k
+                    around = left[k:] + right[: BLOCK - 1 - before]
+                    digest = xxhash.xxh3_128_digest(core + bytes((before,)) + around)
+                    one.append(int.from_bytes(digest[:8], "little", signed=True))
+                    two.append(int.from_bytes(digest[8:], "little", signed=True))
+                    ref.append((row["run"] << place_bits) + row["place"] + k)
+            if ref:
+                yield batch_of(_WINDOWS, one=one, two=two, ref=ref)
     return run
 
 
@@ -148,44 +190,59 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(schema, key=keys, at=at, starts=starts)
 
 
+def _groups(rows: DataFrame, group: list[str], same: list[str], first: list[str]) -> DataFrame:
+    """Rows whose group has others: ``whole`` if one is the same, ``odd`` if not all are, ``leads`` one of each kind."""
+    in_group, in_kind = W.partitionBy(*group), W.partitionBy(*group, *same)
+    kind = F.struct(*same)
+    return (
+        rows.withColumn("n_kind", F.count("*").over(in_kind)).withColumn("first", F.min(F.struct(*first)).over(in_kind))
+        .withColumn("n_group", F.count("*").over(in_group))
+        .withColumn("low", F.min(kind).over(in_group)).withColumn("high", F.max(kind).over(in_group))
+        .where("n_group > 1")
+        .withColumn("whole", F.col("n_kind") > 1).withColumn("odd", F.col("low") != F.col("high"))
+        .withColumn("leads", F.struct(*first) == F.col("first"))
+        .drop("n_kind", "n_group", "first", "low", "high")
+    )
+
+
 def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
     """``(key, at, starts)``: windows ``at .. at + starts - 1`` of the text hashed to ``key`` start elsewhere too."""
-    plain = docs.where(F.octet_length("text") >= width)
-    runs = plain.select("text", "key").mapInArrow(_runs(width), RUNS).repartition("anchor")
-    by_anchor, by_content = W.partitionBy("anchor"), W.partitionBy("anchor", "content", "starts")
-    shared = saved(
-        runs.withColumn("same", F.count("*").over(by_content))
-        .withColumn("first", F.min(F.struct("key", "at")).over(by_content))
-        .withColumn("rows", F.count("*").over(by_anchor))
-        .withColumn("odd", F.max("tied").over(by_anchor) | (
-            F.min(F.struct("content", "starts")).over(by_anchor) != F.max(F.struct("content", "starts")).over(by_anchor)))
-        .where("rows > 1 or odd")
-        .select("key", "at", "starts", "odd", (F.col("same") > 1).alias("whole"),
-                (F.struct("key", "at") == F.col("first")).alias("leads")),
-        "suffix-runs",
-    )
-    whole = shared.where("whole").select("key", "at", "starts")
-    # One run of each content shows its windows to the others of its anchor.
-    listed = saved(
-        shared.where("odd and leads").select("key", "at", "starts").distinct()
-        .withColumn("run", F.monotonically_increasing_id() % (1 << 33) + F.shiftright(F.monotonically_increasing_id(), 33) * (1 << 26)),
-        "suffix-listed",
-    )
-    by_text = listed.groupBy("key").agg(F.collect_list(F.struct("run", "at", "starts")).alias("listed"))
-    windows = (
-        plain.select("text", "key").join(measured(listed.select("key").distinct()), "key", "left_semi")
-        .join(by_text, "key").select("key", "text", "listed")
-        .mapInArrow(_windows(width), "one long, two long, ref long").repartition("one")
+    plain = docs.where(F.octet_length("text") >= width).select("text", "key")
+    runs = plain.mapInArrow(_runs(width), RUNS).repartition("anchor")
+    runs = saved(_groups(runs, ["anchor"], ["content", "starts"], ["key", "at"]).drop("anchor", "content"), "suffix-runs")
+    whole = runs.where("whole").select("key", "at", "starts")
+    # One run of each kind shows its windows to the others of its anchor.
+    listed = runs.where("odd and leads").select("key", "at", "starts", "lead").distinct()
+    listed = saved(_numbered(listed, "run"), "suffix-listed")
+    by_text = listed.groupBy("key").agg(F.collect_list(F.struct("run", "at", "starts", "lead")).alias("listed"))
+    blocks = (
+        plain.join(measured(listed.select("key").distinct()), "key", "left_semi")
+        .join(by_text, "key").select("key", "text", "listed").mapInArrow(_blocks(width), BLOCKS)
+        # A text that two tasks read gives its blocks twice.
+        .repartition("one").dropDuplicates(["one", "two", "left", "right", "run", "place"])
     )
+    blocks = saved(_groups(blocks, ["one", "two"], ["left", "right"], ["run", "place"]), "suffix-blocks")
+    # A run has fewer windows than a window has bytes.
+    bits = width.bit_length()
+    windows = blocks.where("odd and leads").mapInArrow(_windows(bits), "one long, two long, ref long").repartition("one")
     same = W.partitionBy("one", "two")
     repeats = windows.withColumn("low", F.min("ref").over(same)).withColumn("high", F.max("ref").over(same)).where(
-        "low != high").select(F.expr(f"ref div {SLICE * 4}").alias("run"), (F.col("ref") % (SLICE * 4)).cast("int").alias("place"))
-    places = repeats.groupBy("run").agg(F.collect_set("place").alias("places"))
+        "low != high").select(F.shiftright("ref", bits).alias("run"),
+                              F.col("ref").bitwiseAND((1 << bits) - 1).cast("int").alias("place"), F.lit(1).alias("n"))
+    found = blocks.where("whole").select("run", "place", F.col("starts").alias("n")).unionByName(repeats)
+    places = found.groupBy("run").agg(
+        F.flatten(F.collect_list(F.sequence("place", F.col("place") + F.col("n") - 1))).alias("places"))
     parts = listed.join(places, "run").select("key", "at", "places").mapInArrow(
         _spread, "key binary, at long, starts int")
     return saved(whole.unionByName(parts), "suffix-spans")
 
 
+def _numbered(df: DataFrame, name: str) -> DataFrame:
+    """A number for each row: of its task, then of the row."""
+    number = F.monotonically_increasing_id()
+    return df.withColumn(name, F.shiftleft(F.shiftright(number, 33), ROW_BITS) + number.bitwiseAND((1 << 33) - 1))
+
+
 def remove_repeats(docs: DataFrame, min_bytes: int = 400) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256)``, one row per document.
 
