@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,6 +43,12 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(begin)
 
 
+def worker_state(name: str) -> dict:
+    """A dictionary that the tasks of one Python worker share, one after the other."""
+    module = sys.modules.setdefault("tidemark_worker_state", types.ModuleType("tidemark_worker_state"))
+    return module.__dict__.setdefault(name, {})
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [c if isinstance(c, pa.Array) else pa.array(c, type=schema.field(n).type)

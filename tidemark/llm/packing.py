@@ -14,12 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batch_of, chunks, saved, texts
+from tidemark.llm.common import batch_of, chunks, saved, texts, worker_state
+from tidemark.llm.rolling import WORD_CODES, Prefix, U, mix
 
 # Pieces a window may leave unfilled before its pieces are cut up instead, as a share.
 MAX_SLACK = 0.005
-# Words whose ids a task remembers at once.
-CACHE_WORDS = 400_000
+# Words whose ids a Python worker remembers at once.
+CACHE_WORDS = 2_000_000
+
+_BLANK, _MARK, _LETTER = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
+_BLANK[[10, 32]] = _MARK[[44, 46]] = _LETTER[65:91] = _LETTER[97:123] = True
 
 _PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -34,44 +38,88 @@ PLACED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class Words:
-    """Ids of texts by a tokenizer whose words end at blanks: each distinct word is encoded once."""
+    """Ids of texts by a tokenizer whose words end at blanks: each distinct word is encoded once.
+
+    Words are runs without blank or line feed, with A-Z lowered; a full stop or
+    comma that ends a word after a letter is a word of its own. They are told
+    apart by 64-bit hashes. Words of letters only are encoded many at a time;
+    each of them ends with the one id in it that marks an end.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.is_end[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 16, dtype=np.int64)
-
-    def _add(self, words: list[str]) -> None:
-        for word, encoded in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-            ids, k = encoded.ids, len(self.index)
-            start = int(self.ends[k])
-            while start + len(ids) > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-            if k + 2 > len(self.ends):
-                self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-            self.flat[start : start + len(ids)] = ids
-            self.ends[k + 1] = start + len(ids)
-            self.index[word] = k
-
-    def ids(self, text: str) -> np.ndarray:
-        if len(self.index) > CACHE_WORDS:
+        # Sorted hashes of the words known; where their ids are.
+        self.known, self.starts, self.sizes = np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
+
+    def _store(self, ids: np.ndarray) -> int:
+        start = self.used
+        self.used += len(ids)
+        while self.used > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
+        self.flat[start : self.used] = ids
+        return start
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of the words are stored, and how many they are."""
+        starts, sizes = np.zeros(len(words), dtype=np.int64), np.zeros(len(words), dtype=np.int64)
+        plain = np.fromiter(map(str.isalpha, words), dtype=bool, count=len(words))
+        letters = np.flatnonzero(plain)
+        if len(letters):
+            joined = " ".join([words[k] for k in letters.tolist()])
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) == len(letters) and ends[-1] == len(ids):
+                sizes[letters] = np.diff(ends, prepend=0)
+                starts[letters] = self._store(ids) + ends - sizes[letters]
+            else:
+                plain[:] = False
+        rest = np.flatnonzero(~plain).tolist()
+        for k, found in zip(rest, self.tokenizer.encode_batch_fast([words[k] for k in rest], add_special_tokens=False)):
+            starts[k], sizes[k] = self._store(np.array(found.ids, dtype=np.uint32)), len(found.ids)
+        return starts, sizes
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if any("<|" in t for t in texts):  # may hold a special token, whose case matters
+            return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.uint32) for t in texts]
+        if len(self.known) > CACHE_WORDS:
             self.clear()
-        words = text.replace("\n", " ").split(" ")
-        found = list(map(self.index.get, words))
-        if None in found:
-            self._add([w for w in dict.fromkeys(words) if w not in self.index])
-            found = list(map(self.index.get, words))
-        at = np.array(found, dtype=np.int64)
-        starts, sizes = self.ends[at], self.ends[at + 1] - self.ends[at]
+        encoded = [t.encode() for t in texts]
+        data = b"\n".join(encoded) + b"\n"
+        chars = np.frombuffer(data, dtype=np.uint8)
+        inside = ~_BLANK[chars]
+        mark = np.zeros(len(chars), dtype=bool)
+        mark[1:-1] = _MARK[chars[1:-1]] & _LETTER[chars[:-2]] & ~inside[2:]
+        first = np.flatnonzero(inside & (mark | np.concatenate(([True], ~inside[:-1]))))
+        last = np.flatnonzero(inside[:-1] & (mark[1:] | ~inside[1:])) + 1
+        hashes = mix(Prefix(WORD_CODES[chars]).spans(first, last) + (last - first).astype(U))
+        distinct, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self.known):
+            new = self.known[np.minimum(at, len(self.known) - 1)] != distinct
+        if new.any():
+            begin, end = first[where[new]].tolist(), last[where[new]].tolist()
+            low = data.lower()
+            starts, sizes = self._encode([low[a:b].decode() for a, b in zip(begin, end)])
+            self.known = np.insert(self.known, at[new], distinct[new])
+            self.starts, self.sizes = np.insert(self.starts, at[new], starts), np.insert(self.sizes, at[new], sizes)
+            at = np.searchsorted(self.known, distinct)
+        starts, sizes = self.starts[at][inverse], self.sizes[at][inverse]
         total = np.cumsum(sizes)
-        return self.flat[np.repeat(starts - (total - sizes), sizes) + np.arange(total[-1])]
+        flat = self.flat[np.repeat(starts - (total - sizes), sizes) + np.arange(total[-1] if len(total) else 0)]
+        upto = np.searchsorted(first, np.cumsum([len(e) + 1 for e in encoded]))
+        return np.split(flat, np.concatenate(([0], total))[upto[:-1]])
 
 
 def halves(length: int) -> list[int]:
@@ -80,18 +128,22 @@ def halves(length: int) -> list[int]:
 
 
 def _crc(ids: np.ndarray) -> int:
-    return zlib.crc32(ids.tobytes())
+    return zlib.crc32(ids)
 
 
 def _pieces(path: str, end_id: int, window: int):
     """Full windows of each document, then the rest; each numbered within its task and length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = Words(path), defaultdict(int)
+        state, seen = worker_state("words"), defaultdict(int)
+        if path not in state:
+            state[path] = Words(path)
+        words = state[path]
         part = TaskContext.get().partitionId()
         for batch in chunks(batches):
             rows = []
-            for doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(2))):
-                ids = np.append(words.ids(text), np.uint32(end_id)).astype("<u4")
+            doc_ids, values = (batch.column(k).to_pylist() for k in range(2))
+            for doc_id, ids in zip(doc_ids, words.ids(values)):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
                     n, cuts = len(piece), []
@@ -102,8 +154,7 @@ def _pieces(path: str, end_id: int, window: int):
                             at += size
                     rows.append((doc_id, start, n, _crc(piece), len(ids), part, seen[n], cuts))
                     seen[n] += 1
-            if rows:
-                yield batch_of(_PIECES, **dict(zip(_PIECES.names, map(list, zip(*rows)))))
+            yield batch_of(_PIECES, **dict(zip(_PIECES.names, map(list, zip(*rows)))))
     return run
 
 
