@@ -30,7 +30,9 @@ FRAGMENT = 2048
 
 _SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.binary())])
 _KEYS = pa.schema([("key", pa.int64()), ("set", pa.binary())])
-_GRAMS = pa.schema([("set", pa.binary()), ("n", pa.int64()), ("grams", pa.list_(pa.int64()))])
+_GRAMS = pa.schema([("set", pa.binary()), ("n", pa.int64()), ("grams", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+# Words of 64 bits in a set's bitmap.
+BITMAP = 4
 
 
 def gram_sets(values: list[str], size: int) -> Iterator[np.ndarray]:
@@ -119,13 +121,19 @@ def _coarse(size: int, percent: int):
     return run
 
 
+def bitmap(grams: np.ndarray) -> np.ndarray:
+    """Parities of the n-grams by hash: two sets differ in at least as many n-grams as their bitmaps in bits."""
+    odd = np.bincount((grams % U(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _grams(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             sets = [s for s in gram_sets(batch.column(0).to_pylist(), size) if len(s)]
             if sets:
                 yield batch_of(_GRAMS, set=[_key(s) for s in sets], n=[len(s) for s in sets],
-                               grams=[s.view(np.int64) for s in sets])
+                               grams=[s.view(np.int64) for s in sets], bits=[bitmap(s) for s in sets])
     return run
 
 
@@ -173,7 +181,7 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     firsts = found.join(near, "set").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
     wanted = firsts.select("doc_id").distinct()
     grams = plain.join(measured(wanted), "doc_id", "left_semi").select("text").mapInArrow(
-        _grams(size), "set binary, n long, grams array<bigint>")
+        _grams(size), "set binary, n long, grams array<bigint>, bits array<bigint>")
     sets = saved(
         grams.join(near, "set", "left_semi").dropDuplicates(["set"])
         .withColumn("id", F.monotonically_increasing_id()), "jaccard-grams")
@@ -186,9 +194,9 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     # N-grams of one set only come first in the order; they fill the prefix and link nothing.
     room = F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1 - (F.col("n") - F.col("common"))
     prefixes = saved(
-        ordered.join(sets.select("id", "n"), "id").where(room > 0)
-        .select("id", "n", F.explode(F.slice("grams", 1, room.cast("int"))).alias("g"))
-        .select("id", "n", F.col("g.gram").alias("gram")), "jaccard-prefixes")
+        ordered.join(sets.select("id", "n", "bits"), "id").where(room > 0)
+        .select("id", "n", "bits", (F.col("n") - F.col("common")).alias("lone"), F.posexplode(F.slice("grams", 1, room.cast("int"))).alias("at", "g"))
+        .select("id", "n", "bits", (F.col("lone") + F.col("at")).alias("at"), F.col("g.gram").alias("gram")), "jaccard-prefixes")
     links = _links(prefixes, sets.select("id", "grams"), percent)
     roots = components(links).join(sets.select(F.col("id").alias("node"), "set"), "node").select("set", "root")
     # Copies first: one row per set, then one per component.
@@ -210,11 +218,18 @@ def _links(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     done = links = None
     group = W.partitionBy("gram")
     rows = prefixes
-    size_fits = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+    # At the first n-gram that two sets share, all before it are theirs alone: so many may differ, so many are left to share.
+    fits = (100 - percent) * F.least(F.col("na") - F.col("at_a"), F.col("nb") - F.col("at_b")) >= percent * (
+        F.col("at_a") + F.col("at_b") + F.abs((F.col("na") - F.col("at_a")) - (F.col("nb") - F.col("at_b"))))
+    # Both bitmaps differ in no more bits than the sets may in n-grams.
+    apart = sum((F.bit_count(F.col("bits_a")[k].bitwiseXOR(F.col("bits_b")[k])) for k in range(BITMAP)), F.lit(0))
+    fits = fits & ((100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb")))
     for _ in range(2):
-        stars = rows.withColumn("hub", F.min(F.struct("id", "n")).over(group)).where("id != hub.id").select(
-            F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"))
-        pairs = stars.where(size_fits).distinct()
+        stars = rows.withColumn("hub", F.min(F.struct("id", "n", "at", "bits")).over(group)).where("id != hub.id").select(
+            F.col("hub.id").alias("a"), F.col("id").alias("b"), F.col("hub.n").alias("na"), F.col("n").alias("nb"),
+            F.col("hub.at").alias("at_a"), F.col("at").alias("at_b"),
+            F.col("hub.bits").alias("bits_a"), F.col("bits").alias("bits_b"))
+        pairs = stars.where(fits).select("a", "b", "na", "nb").distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = saved(pairs, "jaccard-pairs")
@@ -226,13 +241,14 @@ def _links(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             "root", F.coalesce("root", "id"))
         parted = saved(
             placed.withColumn("low", F.min("root").over(group)).withColumn("high", F.max("root").over(group))
-            .where("low != high").select("gram", "id", "n", "root"), "jaccard-parted")
+            .where("low != high").select("gram", "id", "n", "at", "bits", "root"), "jaccard-parted")
         # Next round: the sets outside the component that the first hub is in.
         hubs = parted.withColumn("hub", F.min(F.struct("id", "root")).over(group))
-        rows = hubs.where("root != hub.root").select("gram", "id", "n")
+        rows = hubs.where("root != hub.root").select("gram", "id", "n", "at", "bits")
     left, right = (
-        parted.select("gram", *(F.col(c).alias(f"{c}{side}") for c in ("id", "n", "root"))) for side in "ab")
-    rest = left.join(right, "gram").where("ida < idb and roota != rootb").select(
-        F.col("ida").alias("a"), F.col("idb").alias("b"), "na", "nb").where(size_fits).distinct()
+        parted.select("gram", F.col("id").alias(one), F.col("n").alias(f"n{one}"), F.col("at").alias(f"at_{one}"), F.col("bits").alias(f"bits_{one}"),
+                      F.col("root").alias(f"root_{one}")) for one in "ab")
+    rest = left.join(right, "gram").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & fits).select(
+        "a", "b", "na", "nb").distinct()
     rest = saved(rest.join(done, ["a", "b"], "left_anti"), "jaccard-rest")
     return saved(links.unionByName(_linked(rest, sets, percent)), "jaccard-all-links")
