@@ -18,7 +18,7 @@ from tidemark.llm.rolling import U, joined_hashes, word_hashes
 
 BACKOFF = 0.4
 # Bytes of text in a block, and so of n-grams in a partition.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 
 _ASKED = pa.schema([
     ("part", pa.int32()), ("block", pa.int32()), ("order", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary()),
@@ -54,22 +54,67 @@ def grams(values: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray],
     return counts, hashes, last
 
 
-def _ask(order: int, bits: int):
+def _rows(block: int, n: int, found: np.ndarray, bits: int) -> list[tuple]:
+    """The distinct n-grams of a block and how often each occurs, a row for each partition of their hashes."""
+    distinct, counts = np.unique(found, return_counts=True)
+    cuts = np.searchsorted(distinct, np.arange(1, 1 << bits, dtype=U) << U(64 - bits)) if bits else []
+    return [
+        (part, block, n, planes(np.diff(own, prepend=U(0))), planes(held.astype(np.uint32)))
+        for part, (own, held) in enumerate(zip(np.split(distinct, cuts), np.split(counts, cuts))) if len(own)
+    ]
+
+
+def _table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_batches([batch_of(schema, **dict(zip(schema.names, map(list, zip(*rows)))))] if rows else [], schema=schema)
+
+
+def _ask(bits: int):
+    """Words and word pairs."""
     def run(table: pa.Table) -> pa.Table:
         block = table.column("block")[0].as_py()
-        _, hashes, _ = grams(table.column("text").to_pylist(), order)
-        rows = []
-        for n, found in enumerate(hashes, 1):
-            distinct, counts = np.unique(found, return_counts=True)
-            cuts = np.searchsorted(distinct, np.arange(1, 1 << bits, dtype=U) << U(64 - bits)) if bits else []
-            for part, (own, held) in enumerate(zip(np.split(distinct, cuts), np.split(counts, cuts))):
-                if len(own):
-                    rows.append((part, block, n, planes(np.diff(own, prepend=U(0))), planes(held.astype(np.uint32))))
-        return pa.Table.from_batches(
-            [batch_of(_ASKED, **dict(zip(_ASKED.names, map(list, zip(*rows)))))] if rows else [], schema=_ASKED)
+        _, hashes, _ = grams(table.column("text").to_pylist(), 2)
+        return _table(_ASKED, [r for n, found in enumerate(hashes, 1) for r in _rows(block, n, found, bits)])
     return run
 
 
+def _ask_longer(n: int, bits: int):
+    """The n-grams that can occur twice: both shorter ones in them do."""
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return _ASKED.empty_table()
+        counts, hashes, last = grams(docs.column("text").to_pylist(), n)
+        asked = _totals(counts, hashes, last, told, n - 1)[1]
+        return _table(_ASKED, _rows(docs.column("block")[0].as_py(), n, hashes[n - 1][asked[n - 1]], bits))
+    return run
+
+
+def _totals(counts: np.ndarray, hashes: list, last: list, told: pa.Table, order: int) -> tuple[list, list]:
+    """Occurrences in the corpus of the n-gram that ends at each word, for n up to ``order``; and which n-grams were asked for.
+
+    One more n than told is marked: those to ask for next.
+    """
+    words = int(counts.sum())
+    orders, parts = told.column("order").to_numpy(), told.column("part").to_numpy()
+    totals, asked = [], []
+    for n, found in enumerate(hashes, 1):
+        mine = np.ones(len(found), dtype=bool)
+        if n > 2:
+            mine = (totals[n - 2][last[n - 1]] > 1) & (totals[n - 2][last[n - 1] - 1] > 1)
+        asked.append(mine)
+        if n > order:
+            break
+        inverse = np.unique(found[mine], return_inverse=True)[1]
+        rows = np.flatnonzero(orders == n)
+        rows = rows[np.argsort(parts[rows], kind="stable")]
+        answer = [unplanes(told.column("counts")[int(k)].as_py(), np.int64) for k in rows]
+        sums = np.concatenate(answer) if answer else np.zeros(0, dtype=np.int64)
+        total = np.zeros(words, dtype=np.int64)
+        total[last[n - 1]] = 1
+        total[last[n - 1][mine]] = sums[inverse]
+        totals.append(total)
+    return totals, asked
+
+
 def _tell(table: pa.Table) -> pa.Table:
     part = table.column("part")[0].as_py()
     rows = []
@@ -79,7 +124,7 @@ def _tell(table: pa.Table) -> pa.Table:
         asked = [np.cumsum(unplanes(h.as_py(), U)) for h in mine.column("hashes")]
         held = np.concatenate([unplanes(c.as_py(), np.uint32) for c in mine.column("counts")]).astype(np.int64)
         every = np.concatenate(asked)
-        order = np.argsort(every, kind="stable")
+        order = np.argsort(every)
         ranked = every[order]
         first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
         sums = np.add.reduceat(held[order], first)
@@ -88,7 +133,7 @@ def _tell(table: pa.Table) -> pa.Table:
         cuts = np.cumsum([len(a) for a in asked])[:-1]
         for block, own in zip(mine.column("block").to_pylist(), np.split(totals, cuts)):
             rows.append((block, n, part, planes(own)))
-    return pa.Table.from_batches([batch_of(_TOLD, **dict(zip(_TOLD.names, map(list, zip(*rows)))))], schema=_TOLD)
+    return _table(_TOLD, rows)
 
 
 def _score(order: int):
@@ -99,16 +144,7 @@ def _score(order: int):
             return _SUMS.empty_table()
         counts, hashes, last = grams(docs.column("text").to_pylist(), order)
         words = int(counts.sum())
-        total = [None] * order  # of the n-gram that ends at each word
-        orders, parts = told.column("order").to_numpy(), told.column("part").to_numpy()
-        for n, found in enumerate(hashes, 1):
-            distinct = np.unique(found)
-            rows = np.flatnonzero(orders == n)
-            rows = rows[np.argsort(parts[rows], kind="stable")]
-            answer = [unplanes(told.column("counts")[int(k)].as_py(), np.int64) for k in rows]
-            sums = np.concatenate(answer) if answer else np.zeros(0, dtype=np.int64)
-            total[n - 1] = np.zeros(words, dtype=np.int64)
-            total[n - 1][last[n - 1]] = sums[np.searchsorted(distinct, found)]
+        total = _totals(counts, hashes, last, told, order)[0]
         # Without the occurrence itself.
         rest = np.maximum(total[0] - 1, 0)
         value = np.where(rest > 0, np.log(np.maximum(rest, 1)), penalty)
@@ -129,7 +165,7 @@ def _score(order: int):
 
 
 def backoff_scores(docs: DataFrame, order: int = 3) -> DataFrame:
-    """``(doc_id, n_words, log_score, mean_log_score)``, one row per document.
+    """``(doc_id, n_words, log_score, mean_log_score)``, one row per document; ``order`` is 2 or more.
 
     A word scores the relative count of the longest n-gram that ends in it and
     also occurs elsewhere in the table, times 0.4 for each step back: counts
@@ -145,8 +181,11 @@ def backoff_scores(docs: DataFrame, order: int = 3) -> DataFrame:
     blocks = size // BLOCK_BYTES + 1
     bits = int(blocks - 1).bit_length()
     dealt = plain.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")).repartition(blocks, "block")
-    asked = dealt.groupBy("block").applyInArrow(_ask(order, bits), ASKED)
-    told = asked.groupBy("part").applyInArrow(_tell, TOLD)
+    told = dealt.groupBy("block").applyInArrow(_ask(bits), ASKED).groupBy("part").applyInArrow(_tell, TOLD)
+    for n in range(3, order + 1):
+        told = told.repartition(blocks, "block")
+        longer = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_ask_longer(n, bits), ASKED)
+        told = told.unionByName(longer.groupBy("part").applyInArrow(_tell, TOLD))
     sums = saved(dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(order), SUMS), "language-sums")
     words = sums.agg(F.sum("n_words")).first()[0] or 1
     score = F.col("log_sum") - F.col("n_unigram") * F.log(F.lit(float(words)))

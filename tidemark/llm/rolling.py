@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 
 U = np.uint64
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+# Bytes whose words are hashed together: bounds the arrays.
+PIECE = 1 << 20
+_BREAK = re.compile(rb"[ \t-\r]")
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -70,12 +76,46 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 WORD_CODES = mix((_LOWER.astype(U) + U(1)) * U(BASES[1]))
 
 
+def _pieces(texts: list[bytes]) -> Iterator[tuple[list[bytes], bool]]:
+    """Texts together up to ``PIECE`` bytes; a longer one in parts that end at white space, all but its last marked."""
+    held, size = [], 0
+    for text in texts:
+        if size + len(text) > PIECE and held:
+            yield held, False
+            held, size = [], 0
+        begin = 0
+        while len(text) - begin > PIECE:
+            cut = _BREAK.search(text, begin + PIECE // 2)
+            if cut is None:
+                break
+            yield [text[begin : cut.start()]], True
+            begin = cut.start()
+        held.append(text[begin:])
+        size += len(text) - begin
+    if held:
+        yield held, False
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word of all texts, and the number of words per text.
 
     Words are what ASCII white space separates, with A-Z lowered; a word's hash
     depends on its bytes alone.
     """
+    hashes, counts, carried = [], [], 0
+    for part, unfinished in _pieces(texts):
+        found, sizes = _word_hashes(part)
+        hashes.append(found)
+        sizes[0] += carried
+        carried = int(sizes[0]) if unfinished else 0
+        if not unfinished:
+            counts.append(sizes)
+    if not hashes:
+        return np.zeros(0, dtype=U), np.zeros(0, dtype=np.int64)
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
     space = _SPACE[joined]
     inside = ~space
