@@ -19,8 +19,8 @@ from tidemark.llm.components import components
 EDITS = 2
 # Shorter lines are left alone: two edits would join different ones.
 MIN_CHARS = 24
-# Letters that are counted to tell lines apart before the edit distance.
-LETTERS = "etanirso"
+# Letters that are counted to tell lines apart before the edit distance, eight a number.
+LETTERS = ("etanirso", "hldcumgw")
 LAST = (1 << 63) - 1
 
 
@@ -29,41 +29,52 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return texts(docs).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
 
 
-def _keys(line: Column, length: Column, edits: int) -> Column:
-    """Index keys (odd marks) and probe keys (even marks) of a line."""
-    out, parts = [], edits + 1
-    for shorter in range(edits + 1):
-        whole = length - shorter
-        base, extra = F.floor(whole / parts), F.pmod(whole, F.lit(parts))
-        for i in range(parts):
-            start = base * i + F.greatest(F.lit(0), extra - (parts - i))
-            size = base + F.when(extra >= parts - i, 1).otherwise(0)
-            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
-                index = shorter == 0 and shift == 0
-                piece = F.substring(line, start + shift + 1, size)
-                out.append(F.when(start + shift >= 0, F.struct(
-                    F.xxhash64(whole, F.lit(i), piece).alias("key"), F.lit(index).alias("index"))))
-    return F.array_compact(F.array(*out))
+def _probes(edits: int) -> list[tuple[int, int, int, bool]]:
+    """``(shorter, segment, shift, index)``: lengths to probe, where their segments may be, which are index keys."""
+    return [
+        (shorter, i, shift, shorter == 0 and shift == 0)
+        for shorter in range(edits + 1) for i in range(edits + 1)
+        for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1)
+    ]
+
+
+def _keyed(lines: DataFrame, edits: int) -> DataFrame:
+    """``(key, index, ref)``: index and probe keys of each line. The probes are rows, so that the code per row stays small."""
+    parts = edits + 1
+    probes = F.array(*[F.struct(*(F.lit(v).alias(n) for v, n in zip(p, ("shorter", "i", "shift", "index")))) for p in _probes(edits)])
+    rows = lines.withColumn("n", F.length("line")).withColumn("p", F.explode(probes)).select(
+        "ref", "line", (F.col("n") - F.col("p.shorter")).alias("whole"), F.col("p.i").alias("i"), F.col("p.shift").alias("shift"),
+        F.col("p.index").alias("index"))
+    base, extra = F.floor(F.col("whole") / parts).cast("int"), F.pmod(F.col("whole"), F.lit(parts))
+    rows = rows.select("ref", "line", "whole", "i", "shift", "index", base.alias("base"), extra.alias("extra"))
+    start = F.col("base") * F.col("i") + F.greatest(F.lit(0), F.col("extra") - parts + F.col("i")) + F.col("shift")
+    size = F.col("base") + F.when(F.col("extra") >= parts - F.col("i"), 1).otherwise(0)
+    return rows.select("ref", "line", "whole", "i", "index", start.alias("start"), size.alias("size")).where("start >= 0").select(
+        F.xxhash64("whole", "i", F.col("line").substr(F.col("start") + 1, F.col("size"))).alias("key"), "index", "ref")
 
 
 def _letters(line: Column) -> Column:
-    """Counts of eight letters, a byte each."""
-    out = F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
-        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(128)).cast("long"), 8 * k))
-    return out
+    """Counts of sixteen letters, a byte each."""
+    def packed(letters: str) -> Column:
+        out = F.lit(0).cast("long")
+        for k, letter in enumerate(letters):
+            count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+            out = out.bitwiseOR(F.shiftleft(F.pmod(count, F.lit(128)).cast("long"), 8 * k))
+        return out
+
+    return F.array(*map(packed, LETTERS))
 
 
 def _letters_differ(a: Column, b: Column) -> Column:
     """Least sum of differences of the counts."""
-    def at(x: Column, k: int) -> Column:
-        return F.shiftright(x, 8 * k).bitwiseAND(127)
+    def at(x: Column, word: int, k: int) -> Column:
+        return F.shiftright(x[word], 8 * k).bitwiseAND(127)
 
     total = F.lit(0)
-    for k in range(len(LETTERS)):
-        gap = F.abs(at(a, k) - at(b, k))
-        total = total + F.least(gap, 128 - gap)
+    for word, letters in enumerate(LETTERS):
+        for k in range(len(letters)):
+            gap = F.abs(at(a, word, k) - at(b, word, k))
+            total = total + F.least(gap, 128 - gap)
     return total
 
 
@@ -84,11 +95,10 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     different components with each other, so groups of alike lines cost a star
     and not all pairs.
     """
-    length = F.length("line")
     # A reference only has to tell the lines of one key apart; the lowest bit marks index keys.
     ref = F.shiftleft(F.xxhash64("line"), 1)
-    keys = lines.select(ref.alias("ref"), F.explode(_keys(F.col("line"), length, edits)).alias("k")).select(
-        "k.key", F.when(F.col("k.index"), F.col("ref").bitwiseOR(1)).otherwise(F.col("ref")).alias("ref"))
+    keys = _keyed(lines.select(ref.alias("ref"), "line"), edits).select(
+        "key", F.when(F.col("index"), F.col("ref").bitwiseOR(1)).otherwise(F.col("ref")).alias("ref"))
     by_key = W.partitionBy("key")
     plain = F.shiftright("ref", 1)
     shared = saved(
