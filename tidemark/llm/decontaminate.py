@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import batch_of, chunks, texts
 from tidemark.llm.rolling import BASES, Prefix, U, mix
 
-Q = 8
+Q = 10
 # A passage of this many characters, or the whole item if shorter, in at most this share of edits.
 PASSAGE = 100
 ERRORS = 0.08
@@ -21,6 +21,8 @@ LEAST = 40
 # Characters of benchmark text that are looked for in one pass; further text takes further passes.
 PASS_CHARS = 2_000_000
 FILTER_BITS = 22
+# More than there are bands in a document and item.
+_BANDS = 1 << 40
 
 _HITS = pa.schema([
     ("doc_id", pa.int64()), ("item_id", pa.int64()), ("doc_start", pa.int64()), ("doc_end", pa.int64()),
@@ -50,6 +52,7 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = [i for i, _ in items]
         self.codes = [codes(plain(t)) for _, t in items]
+        self.bounds = np.array([budget(len(c)) for c in self.codes])
         hashes, owner, place = [], [], []
         for k, item in enumerate(self.codes):
             q = min(Q, len(item))
@@ -85,42 +88,34 @@ def grams(text: np.ndarray) -> np.ndarray:
 def align(item: np.ndarray, doc: np.ndarray, first: int, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Edits and document places along the best alignment of the whole item, on ``width`` diagonals from ``first``.
 
-    ``doc`` ends are free. Row ``i``: item characters consumed; column ``k``:
-    document place ``first + i + k``.
+    What the band passes before and behind is free; places outside the document
+    match nothing. Row ``i``: item characters consumed; column ``k``: document
+    place ``first + i + k``.
     """
-    n, far = len(item), 1 << 20
+    n = len(item)
+    around = np.full(n + width, -1, dtype=np.int64)
+    low, high = max(first, 0), min(first + n + width, len(doc))
+    if low < high:
+        around[low - first : high - first] = doc[low:high]
     cost = np.zeros((n + 1, width), dtype=np.int32)
     ramp = np.arange(width)
-    for i in range(n + 1):
-        place = first + i + ramp
-        outside = (place < 0) | (place > len(doc))
-        if i == 0:
-            row = np.zeros(width, dtype=np.int32)
-        else:
-            char = doc[np.clip(place - 1, 0, len(doc) - 1)]
-            row = cost[i - 1] + (char != item[i - 1])
-            row[place < 1] = far
-            row[:-1] = np.minimum(row[:-1], cost[i - 1][1:] + 1)
-        row[outside] = far
-        if i:
-            row = np.minimum.accumulate(row - ramp) + ramp
-            row[outside] = far
-        cost[i] = row
+    for i in range(1, n + 1):
+        row = cost[i - 1] + (around[i - 1 : i - 1 + width] != item[i - 1])
+        row[:-1] = np.minimum(row[:-1], cost[i - 1][1:] + 1)
+        cost[i] = np.minimum.accumulate(row - ramp) + ramp
     edits, places = np.zeros(n + 1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
-    k = int(cost[n].argmin())
-    i = n
+    i, k = n, int(cost[n].argmin())
     edits[n], places[n] = cost[n, k], first + n + k
     while i:
-        here, place = cost[i, k], first + i + k
-        if place >= 1 and here == cost[i - 1, k] + (doc[place - 1] != item[i - 1]):
+        if cost[i, k] == cost[i - 1, k] + (around[i - 1 + k] != item[i - 1]):
             i -= 1
-        elif k + 1 < width and here == cost[i - 1, k + 1] + 1:
+        elif k + 1 < width and cost[i, k] == cost[i - 1, k + 1] + 1:
             i, k = i - 1, k + 1
         else:
             k -= 1
             continue
         edits[i], places[i] = cost[i, k], first + i + k
-    return edits, places
+    return edits, np.clip(places, 0, len(doc))
 
 
 def leaks(text: str, index: Index) -> Iterator[tuple[int, int, int, int, int, int]]:
@@ -131,9 +126,7 @@ def leaks(text: str, index: Index) -> Iterator[tuple[int, int, int, int, int, in
     at, item, place = index.hits(grams(doc))
     if not len(at):
         return
-    sizes = np.array([len(c) for c in index.codes])
-    bounds = np.array([budget(n) for n in sizes.tolist()])
-    passage, errors = bounds[:, 0], bounds[:, 1]
+    passage, errors = index.bounds[:, 0], index.bounds[:, 1]
     step = np.maximum(errors, 4)[item]
     diagonal = at - place
     # Bands overlap by the edits, so some band holds all q-grams of a passage.
@@ -141,11 +134,14 @@ def leaks(text: str, index: Index) -> Iterator[tuple[int, int, int, int, int, in
     again = diagonal - band * step < errors[item]
     who = np.concatenate((item, item[again]))
     which = np.concatenate((band, band[again] - 1))
-    pairs, counts = np.unique(np.stack((who, which)), axis=1, return_counts=True)
+    keys, counts = np.unique(who * _BANDS + which + _BANDS // 2, return_counts=True)
     need = passage - Q + 1 - Q * errors
-    enough = counts >= np.maximum(need[pairs[0]], 1)
+    held = counts >= np.maximum(need[keys // _BANDS], 1)
+    enough = keys[held][np.argsort(-counts[held], kind="stable")]
     best: dict[int, tuple[int, ...]] = {}
-    for k, b in pairs[:, enough].T.tolist():
+    for k, b in zip((enough // _BANDS).tolist(), (enough % _BANDS - _BANDS // 2).tolist()):
+        if k in best and best[k][-1] == 0:
+            continue
         e, width = int(errors[k]), int(passage[k])
         first = b * max(e, 4) - e
         edits, places = align(index.codes[k], doc, first, max(e, 4) + 3 * e + 1)
