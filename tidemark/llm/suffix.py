@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -34,10 +34,10 @@ _PLACE = U(SLICE * 4 - 1)
 # Bits of a run's number that count rows of a task; the bits above count tasks.
 ROW_BITS = 30
 
-RUNS = "anchor long, content long, starts int, lead int, key binary, at long"
+RUNS = "anchor long, content long, starts int, lead int, known boolean, key binary, at long"
 _RUNS = pa.schema([
     ("anchor", pa.int64()), ("content", pa.int64()), ("starts", pa.int32()), ("lead", pa.int32()),
-    ("key", pa.binary()), ("at", pa.int64()),
+    ("known", pa.bool_()), ("key", pa.binary()), ("at", pa.int64()),
 ])
 BLOCKS = "one long, two long, left binary, right binary, run long, place int, starts int"
 _BLOCKS = pa.schema([
@@ -76,11 +76,19 @@ def _runs(width: int):
                 seen[key] = seen.get(key, 0) + 1
                 if seen[key] > 2:
                     continue
-                for anchor, content, starts, lead, at in runs_of(text.as_py().encode(), width):
-                    yield batch_of(
-                        _RUNS, anchor=anchor.view(np.int64), content=content.view(np.int64),
-                        starts=starts.astype(np.int32), lead=lead.astype(np.int32), key=[key] * len(at), at=at,
-                    )
+                found = list(runs_of(text.as_py().encode(), width))
+                anchor, content, starts, lead, at = map(np.concatenate, zip(*found))
+                # The third and further equal runs of a text are known to repeat. They need not meet the
+                # others, so they go anywhere: a text of one period would else send all its runs to one place.
+                order = np.lexsort((at, content, anchor))
+                same = (anchor[order][2:] == anchor[order][:-2]) & (content[order][2:] == content[order][:-2])
+                known = np.zeros(len(at), dtype=bool)
+                known[order[2:][same]] = True
+                anchor = np.where(known, mix(anchor + at.astype(U)), anchor)
+                yield batch_of(
+                    _RUNS, anchor=anchor.view(np.int64), content=content.view(np.int64), starts=starts.astype(np.int32),
+                    lead=lead.astype(np.int32), known=known, key=[key] * len(at), at=at,
+                )
     return run
 
 
@@ -190,16 +198,17 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(schema, key=keys, at=at, starts=starts)
 
 
-def _groups(rows: DataFrame, group: list[str], same: list[str], first: list[str]) -> DataFrame:
+def _groups(rows: DataFrame, group: list[str], same: list[str], first: list[str], known: Column | None = None) -> DataFrame:
     """Rows whose group has others: ``whole`` if one is the same, ``odd`` if not all are, ``leads`` one of each kind."""
     in_group, in_kind = W.partitionBy(*group), W.partitionBy(*group, *same)
     kind = F.struct(*same)
+    known = F.lit(False) if known is None else known
     return (
         rows.withColumn("n_kind", F.count("*").over(in_kind)).withColumn("first", F.min(F.struct(*first)).over(in_kind))
         .withColumn("n_group", F.count("*").over(in_group))
         .withColumn("low", F.min(kind).over(in_group)).withColumn("high", F.max(kind).over(in_group))
-        .where("n_group > 1")
-        .withColumn("whole", F.col("n_kind") > 1).withColumn("odd", F.col("low") != F.col("high"))
+        .where((F.col("n_group") > 1) | known)
+        .withColumn("whole", (F.col("n_kind") > 1) | known).withColumn("odd", F.col("low") != F.col("high"))
         .withColumn("leads", F.struct(*first) == F.col("first"))
         .drop("n_kind", "n_group", "first", "low", "high")
     )
@@ -209,7 +218,7 @@ def repeated_spans(docs: DataFrame, width: int) -> DataFrame:
     """``(key, at, starts)``: windows ``at .. at + starts - 1`` of the text hashed to ``key`` start elsewhere too."""
     plain = docs.where(F.octet_length("text") >= width).select("text", "key")
     runs = plain.mapInArrow(_runs(width), RUNS).repartition("anchor")
-    runs = saved(_groups(runs, ["anchor"], ["content", "starts"], ["key", "at"]).drop("anchor", "content"), "suffix-runs")
+    runs = saved(_groups(runs, ["anchor"], ["content", "starts"], ["key", "at"], F.col("known")).drop("anchor", "content"), "suffix-runs")
     whole = runs.where("whole").select("key", "at", "starts")
     # One run of each kind shows its windows to the others of its anchor.
     listed = runs.where("odd and leads").select("key", "at", "starts", "lead").distinct()
