@@ -7,11 +7,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.config import ColumnRule, Contract, Feature, FeatureSchema, ModelSpec
-from tidemark.defaults import CONTRACT_V1, FEATURES_V1, FEATURES_V2
 from tidemark.functions.buckets import bucket_index, quantile_from_counts
-from tidemark.operators import contract as check
-from tidemark.operators import features as feat
-from tidemark.operators import models, monitor, scoring, synth
+from tidemark.operators import models, monitor, scoring
 from tidemark.operators.ordered import Chunks
 
 
@@ -136,31 +133,3 @@ def test_resample_and_daily_delta(spark):
 def test_error_counts(spark):
     df = spark.createDataFrame([("/p", 200), ("/p", 500), ("/p", 500), ("/q", 403)], "endpoint string, status int")
     assert rows(monitor.error_counts(df, ["endpoint"], "status")) == [("/p", 500, 2), ("/q", 403, 1)]
-
-
-def test_synthetic_rows_meet_their_contract(spark):
-    ids = spark.range(4000).withColumnRenamed("id", "n")
-    made = synth.synthetic_rows(ids, "n", CONTRACT_V1, seed=3).cache()
-    assert made.columns == list(CONTRACT_V1.columns)
-    assert check.assert_valid(made, CONTRACT_V1) == 4000
-    again = synth.synthetic_rows(ids.repartition(13), "n", CONTRACT_V1, seed=3)
-    assert made.exceptAll(again).isEmpty()
-    assert made.join(synth.synthetic_rows(ids, "n", CONTRACT_V1, seed=4), "data_id").isEmpty()
-    stats = made.agg(
-        F.avg((F.col("developed_country") == "Yes").cast("double")).alias("dev"),
-        F.avg((F.col("region_economic_classification") == "Lower-middle income").cast("double")).alias("lower"),
-        F.avg("straight_distance_to_capital_km").alias("dist"), F.stddev_pop("us_cpi").alias("cpi"),
-        F.avg(F.ln("deflated_gdp_usd")).alias("gdp"), F.count_distinct("koppen_climate_zone").alias("zones"),
-    ).first()
-    assert abs(stats["dev"] - 0.45) < 0.03 and abs(stats["lower"] - 0.35) < 0.03
-    assert abs(stats["dist"] - 240) < 10 and abs(stats["cpi"] - 40) < 2 and abs(stats["gdp"] - 25) < 0.05
-    assert stats["zones"] == 31
-
-
-@pytest.mark.parametrize("schema", [FEATURES_V1, FEATURES_V2])
-def test_shipped_features_on_synthetic_rows(spark, schema):
-    made = synth.synthetic_rows(spark.range(500).withColumnRenamed("id", "n"), "n", CONTRACT_V1)
-    assert not schema.unknown_columns(CONTRACT_V1)
-    check.assert_feature_frame(made, schema)
-    matrix = feat.fit(made, schema).transform(made)
-    assert matrix.count() == 500 and all(t == "double" for _, t in matrix.dtypes)

@@ -1,147 +1,11 @@
-"""Contract-shaped synthetic rows derived from a frame of row ids.
-
-Randomness is a hash of (id, seed, purpose): a recomputed task yields the same
-rows, and the result does not depend on partitioning.
-"""
+"""Labels of periods."""
 
 from __future__ import annotations
 
-import math
-import zlib
-from collections.abc import Sequence
-from itertools import accumulate
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.config import Contract
-
-# The vocabularies and weights of the generated columns.
-YES_NO = ("Yes", "No")
-COUNTRIES = (
-    "United States", "France", "Germany", "Brazil", "India", "Japan", "Canada", "Australia",
-    "South Africa", "Mexico",
-)
-GEOLOCATIONS = (
-    "Capital District", "Coastal Zone", "Industrial Park", "Metro Area", "Rural Region",
-    "Northern Province", "Eastern Province", "Southern Province", "Western Province",
-)
-INCOME_CLASSES = ("Low income", "Lower-middle income", "Upper-middle income", "High income")
-INCOME_WEIGHTS = (0.15, 0.35, 0.3, 0.2)
-RISK_LEVELS = ("Very Low", "Low", "Moderate", "High", "Very High")
-CLIMATE_ZONES = (
-    "Af", "Am", "Aw", "As", "BWh", "BWk", "BSh", "BSk",
-    "Cfa", "Cfb", "Cfc", "Cwa", "Cwb", "Cwc", "Csa", "Csb", "Csc",
-    "Dfa", "Dfb", "Dfc", "Dfd", "Dwa", "Dwb", "Dwc", "Dwd", "Dsa", "Dsb", "Dsc", "Dsd",
-    "ET", "EF",
-)
-P_YES = {
-    "developed_country": 0.45, "landlocked": 0.25, "access_to_airport": 0.7,
-    "access_to_port": 0.5, "access_to_highway": 0.65, "access_to_railway": 0.55,
-    "flood_risk_class": 0.4,
-}
-
-_BITS = 53
-
-
-class Draws:
-    """Independent random columns for one id column and seed."""
-
-    def __init__(self, row_id: Column, seed: int) -> None:
-        self._id = row_id
-        self._seed = seed
-
-    def uniform(self, purpose: str) -> Column:
-        """In the open interval (0, 1)."""
-        salt = zlib.crc32(f"{self._seed}/{purpose}".encode())
-        h = F.shiftrightunsigned(F.xxhash64(self._id, F.lit(salt)), 64 - _BITS)
-        return (h.cast("double") + 0.5) * F.lit(1.0 / (1 << _BITS))
-
-    def integer(self, purpose: str, low: int, high: int) -> Column:
-        """Both ends included."""
-        span = F.floor(self.uniform(purpose) * F.lit(float(high - low + 1)))
-        return F.least(span, F.lit(high - low)) + F.lit(low).cast("bigint")
-
-    def choice(self, purpose: str, items: Sequence[str], weights: Sequence[float] | None = None) -> Column:
-        u = self.uniform(purpose)
-        if weights is None:
-            return F.get(F.array(*[F.lit(i) for i in items]),
-                         F.least(F.floor(u * len(items)), F.lit(len(items) - 1)).cast("int"))
-        total = math.fsum(weights)
-        picked = F.lit(items[-1])
-        for item, upto in reversed(list(zip(items[:-1], accumulate(weights)))):
-            picked = F.when(u < upto / total, F.lit(item)).otherwise(picked)
-        return picked
-
-    def normal(self, purpose: str, mean: float = 0.0, std: float = 1.0) -> Column:
-        radius = F.sqrt(-2.0 * F.ln(self.uniform(purpose + "/r")))
-        return F.lit(mean) + F.lit(std) * radius * F.cos(self.uniform(purpose + "/a") * (2 * math.pi))
-
-    def lognormal(self, purpose: str, mean: float, sigma: float) -> Column:
-        return F.exp(self.normal(purpose, mean, sigma))
-
-    def gamma2(self, purpose: str, scale: float) -> Column:
-        """Gamma with shape two: the sum of two exponentials."""
-        return -F.lit(scale) * (F.ln(self.uniform(purpose + "/1")) + F.ln(self.uniform(purpose + "/2")))
-
-
-def _cents(value: Column) -> Column:
-    """Two decimals, half to even."""
-    return F.rint(value * 100) / 100
-
 
 def quarter_label(year: Column, quarter: Column) -> Column:
     """``YYYY-Qn``."""
     return F.format_string("%d-Q%d", year.cast("int"), quarter.cast("int"))
-
-
-def synthetic_rows(
-    ids: DataFrame, id_column: str, contract: Contract, seed: int = 0, last_year: int = 2025
-) -> DataFrame:
-    """One contract-conforming row per id, in contract column order."""
-    d = Draws(F.col(id_column), seed)
-    rule = contract.columns["year"]
-    low = max(int(rule.min if rule.min is not None else 1950), 2005)
-    high = min(int(rule.max if rule.max is not None else 2100), last_year)
-    if low > high:
-        low, high = int(rule.min), int(rule.max)
-    yes_no = {c: d.choice(c, YES_NO, (p, 1 - p)) for c, p in P_YES.items()}
-    drawn = ids.select(
-        F.col(id_column),
-        F.concat(F.lit("syn_"), F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(id_column).cast("string"))))
-        .alias("data_id"),
-        d.choice("geolocation_name", GEOLOCATIONS).alias("geolocation_name"),
-        d.choice("country", COUNTRIES).alias("country"),
-        d.integer("year", low, high).alias("year"),
-        _cents(d.lognormal("deflated_gdp_usd", 25.0, 0.6)).alias("deflated_gdp_usd"),
-        _cents(F.greatest(d.normal("us_cpi", 250.0, 40.0), F.lit(50.0))).alias("us_cpi"),
-        *[c.alias(n) for n, c in yes_no.items()],
-        d.choice("income", INCOME_CLASSES, INCOME_WEIGHTS).alias("region_economic_classification"),
-        _cents(d.gamma2("distance", 120.0)).alias("straight_distance_to_capital_km"),
-        d.choice("seismic_hazard_zone", RISK_LEVELS).alias("seismic_hazard_zone"),
-        d.choice("tropical_cyclone_wind_risk", RISK_LEVELS).alias("tropical_cyclone_wind_risk"),
-        d.choice("tornadoes_wind_risk", RISK_LEVELS).alias("tornadoes_wind_risk"),
-        d.choice("koppen_climate_zone", CLIMATE_ZONES).alias("koppen_climate_zone"),
-        F.lit(None).cast("string").alias("sentinel2_tiff_file_name"),
-        F.lit(None).cast("string").alias("viirs_tiff_file_name"),
-    )
-    yes = {n: (F.col(n) == "Yes").cast("double") for n in yes_no}
-    access = (
-        yes["access_to_airport"] + yes["access_to_port"]
-        + yes["access_to_highway"] + yes["access_to_railway"]
-    )
-    # The coefficients of the target signal.
-    cost = (
-        120.0 + 0.06 * F.col("us_cpi") + 0.00000008 * F.col("deflated_gdp_usd")
-        + 35.0 * yes["developed_country"] + 18.0 * access + d.normal("noise", 0.0, 25.0)
-    )
-    full = drawn.withColumns(
-        {
-            "quarter_label": quarter_label(F.col("year"), d.integer("quarter", 1, 4)),
-            "construction_cost_per_m2_usd": _cents(F.greatest(cost, F.lit(0.0))),
-        }
-    )
-    missing = sorted(set(contract.columns) - set(full.columns))
-    if missing:
-        raise ValueError(f"no generator for contract columns: {missing}")
-    return full.select(*contract.columns)

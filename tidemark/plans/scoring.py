@@ -1,12 +1,11 @@
-"""Prediction categories, confidence histogram and synthetic rows."""
+"""Prediction categories and confidence histogram."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.defaults import CONTRACT_V1
-from tidemark.operators import scoring, synth
+from tidemark.operators import scoring
 from tidemark.plans import query, table
 
 THRESHOLDS = (100000.0, 250000.0, 400000.0)
@@ -64,10 +63,3 @@ def threshold_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
 def confidence_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = table(spark, sf_dir, "lineitem").select((1.0 - F.col("l_quantity") / 60.0).alias("confidence"))
     return scoring.confidence_histogram(scored)
-
-
-@query()
-def synthetic_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One synthetic contract row per order."""
-    orders = table(spark, sf_dir, "orders")
-    return synth.synthetic_rows(orders, "o_orderkey", CONTRACT_V1, seed=42)

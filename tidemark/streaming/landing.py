@@ -71,6 +71,8 @@ def file_stream(spark: SparkSession, incoming: str, max_files: int | None = None
     """New files below the drop folder as ``binaryFile`` rows."""
     reader = (
         spark.readStream.format("binaryFile").schema(LISTING_SCHEMA).option("recursiveFileLookup", True)
+        # By default the source leaves out files that are a week older than the newest.
+        .option("maxFileAge", "36500d")
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
