@@ -132,6 +132,29 @@ def test_ingest_stream_stops_on_bad_rows_or_sets_them_aside(spark, folder):
     ]
 
 
+def test_rejects_hold_repeated_keys(spark, folder):
+    put(folder, "incoming/one.csv", HEADER + "a,1,1.5,\na,2,2.5,\nb,1,1,\n")
+    master, results = ingest(spark, folder, rejects_path=folder + "/rejects")
+    assert (results[0].rows_added, results[0].rows_rejected) == (1, 2)
+    assert {tuple(r[0]) for r in spark.read.parquet(folder + "/rejects").select("violations").collect()} == {("pk_unique:id",)}
+
+
+def test_landing_loses_no_cells(spark, folder):
+    put(folder, "incoming/one.csv", HEADER + 'a,1,1.5,\n"b\n2",2,2.5,\nc,3,3.5\n')
+    put(folder, "incoming/two.csv", "x,img,id,n\n4.5,,d,4\n")
+    master, _ = ingest(spark, folder)
+    assert {(r["id"], r["n"], r["x"]) for r in master.read().collect()} == {("a", 1, 1.5), ("b\n2", 2, 2.5), ("c", 3, 3.5), ("d", 4, 4.5)}
+
+
+@pytest.mark.parametrize("text, error", [
+    (HEADER + "a,1,1.5,,lost\n", "more cells"), (HEADER + 'a,1,1.5,"x, y",,\n', "more cells"), (HEADER, "without rows")])
+def test_landing_refuses(spark, folder, text, error):
+    put(folder, "incoming/one.csv", text)
+    put(folder, "incoming/two.csv", HEADER + "b,1,1,\n")
+    with pytest.raises(Exception, match=error):
+        ingest(spark, folder)
+
+
 def raw(spark, folder, name, text):
     return read_text_table(spark, put(folder, name, text))
 
@@ -183,10 +206,10 @@ def test_alert_stream_equals_batch(spark, folder):
     events, source = event_stream(spark, folder)
     hot = F.avg("value") > 20
     evaluations = stream.evaluate_windows(source, ["event_type"], "ts", "6 hours", hot)
-    got = drain(spark, stream.sustained_alert_stream(evaluations, ["event_type"], 12 * 3600), folder)
+    got = drain(spark, stream.sustained_alert_stream(evaluations, ["event_type"], 12 * 3600, 6 * 3600), folder)
     batch = stream.evaluate_windows(
         events.withColumn("ts", F.col("ts").cast("timestamp")), ["event_type"], "ts", "6 hours", hot)
-    want = monitor.sustained_alerts(batch, ["event_type"], "evaluated_at", F.col("is_on"), 12 * 3600)
+    want = monitor.sustained_alerts(batch, ["event_type"], "evaluated_at", F.col("is_on"), 12 * 3600, step_seconds=6 * 3600)
     assert rows(got) == rows(want.select("event_type", "active_since", "firing_at")) and not got.isEmpty()
 
 

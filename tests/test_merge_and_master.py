@@ -120,3 +120,13 @@ def test_write_once(spark, folder):
     with pytest.raises(FileNotFoundError):
         load_table(spark, folder + "/nothing")
     assert load_table(spark, path).count() == 3
+
+
+def test_nan_keys_equal_null_keys(spark):
+    nan = float("nan")
+    kind = "k double, v int"
+    master = spark.createDataFrame([(nan, 1), (1.0, 1)], kind)
+    batch = spark.createDataFrame([(nan, 2), (None, 3), (2.0, 2)], kind)
+    got = merge.upsert(master, batch, ["k"], "last", ["v"])
+    assert sorted(r["v"] for r in got.collect()) == [1, 2, 3]
+    assert sorted(r["v"] for r in merge.upsert(master, batch, ["k"], "none").collect()) == [1, 2]

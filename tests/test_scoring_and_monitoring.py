@@ -122,6 +122,12 @@ def test_sustained_alerts(spark, bounds):
     assert found == [("a", 90, 150, 150, 3), ("a", 300, 360, 390, 4), ("b", 0, 60, 60, 2)]
 
 
+def test_alerts_end_at_gaps(spark):
+    df = series(spark, [("a", t, 1.0) for t in (0, 30, 120, 150, 180, 240)])
+    got = monitor.sustained_alerts(df, ["s"], "t", F.col("v") == 1, 60, step_seconds=30)
+    assert [(int(r["active_since"].timestamp()), int(r["firing_at"].timestamp()), r["n_evaluations"]) for r in got.collect()] == [(120, 180, 3)]
+
+
 def test_resample_and_daily_delta(spark):
     day = 86400
     df = series(spark, [("a", 10, 1.0), ("a", 20, 2.0), ("a", 7 * 3600, 3.0), ("a", 8 * 3600, None), ("a", 2 * day, 10.0)])

@@ -36,7 +36,7 @@ def validate_files(raw: DataFrame, contract: Contract) -> None:
     if problems:
         check.raise_first([], problems, contract)
     rules = check.contract_rules(raw, contract)
-    report = check.rule_report(raw, rules, by=["file_name"])
+    report = check.rule_report(raw, rules, by=["file_name"], examples=False)
     bad = report.where(F.col("n_bad") > 0)
     name = bad.agg(F.min("file_name").alias("n")).first()["n"]
     if name is not None:
@@ -49,9 +49,27 @@ def validate_files(raw: DataFrame, contract: Contract) -> None:
         twice = check.duplicate_keys(raw, ["file_name", *contract.primary_key]).limit(10).collect()
         if twice:
             raise check.ContractViolation(f"duplicate primary keys, for example {[tuple(r) for r in twice]}")
-    target = contract.target_problem()
-    if target:
-        raise check.ContractViolation(target)
+    _check_target(contract)
+
+
+def _check_target(contract: Contract) -> None:
+    problem = contract.target_problem()
+    if problem:
+        raise check.ContractViolation(problem)
+
+
+def flag_rejects(raw: DataFrame, contract: Contract) -> DataFrame:
+    """``raw`` with the ``violations`` of each row; every copy of a key that a file repeats has one."""
+    flagged = check.flag_rows(raw, check.contract_rules(raw, contract))
+    if not contract.primary_key:
+        return flagged
+    key = ["file_name", *contract.primary_key]
+    twice = check.duplicate_keys(raw, key).select(
+        *[col(k).alias(f"__key_{i}") for i, k in enumerate(key)], F.lit(f"pk_unique:{','.join(contract.primary_key)}").alias("__twice"))
+    match = [col(k).eqNullSafe(F.col(f"__key_{i}")) for i, k in enumerate(key)]
+    return flagged.join(twice, match, "left").select(
+        *[col(c) for c in raw.columns],
+        F.array_compact(F.array_append("violations", F.col("__twice"))).alias("violations"))
 
 
 def preprocess_batch(
@@ -66,7 +84,8 @@ def preprocess_batch(
 
     ``raw`` is a text table with its position columns. Bad rows fail the batch;
     with ``rejects_path`` they are written there instead, with the rules they
-    break, and the rest goes on. A batch id that is committed already changes
+    break, and the rest goes on. Both ways check the same: a key that a file
+    repeats is bad in all its rows. A batch id that is committed already changes
     nothing.
     """
     if raw.isEmpty():
@@ -79,7 +98,10 @@ def preprocess_batch(
         problems = check.column_problems([c for c in raw.columns if c not in POSITION], list(contract.columns))
         if problems:
             check.raise_first([], problems, contract)
-        good, bad = check.split_valid(raw, check.contract_rules(raw, contract))
+        _check_target(contract)
+        flagged = flag_rejects(raw, contract)
+        good = flagged.where(F.size("violations") == 0).drop("violations")
+        bad = flagged.where(F.size("violations") > 0)
         target = f"{rejects_path}/batch_id={batch_id}"
         bad.write.mode("overwrite").parquet(target)
         rejected_rows = bad.sparkSession.read.schema(bad.schema).parquet(target).count()

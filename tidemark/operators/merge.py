@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.functions.missing import col, fold_missing
+from tidemark.functions.missing import col, fold_missing, present
 
 
 def assert_same_columns(batch: DataFrame, master: DataFrame) -> None:
@@ -48,25 +48,18 @@ def drop_duplicates(
         raise ValueError(f"keep {keep!r} needs an order")
     order = [c.desc_nulls_last() if keep == "last" else c.asc_nulls_first() for c in order_by]
     ranked = df.withColumn(
-        "__rank", F.row_number().over(Window.partitionBy(*[col(k) for k in keys]).orderBy(*order))
+        "__rank", F.row_number().over(Window.partitionBy(*[present(df, k) for k in keys]).orderBy(*order))
     )
     return ranked.where(F.col("__rank") == 1).drop("__rank")
 
 
 def _drop_all_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key occurs once, by partial counts instead of a window."""
-    rest = [c for c in df.columns if c not in keys]
-    aggregates = [F.count(F.lit(1)).alias("__n")]
-    if rest:
-        # Only single-row groups survive, so any row stands for its group.
-        aggregates.append(F.any_value(F.struct(*[col(c) for c in rest])).alias("__row"))
-    grouped = df.groupBy(*[col(k) for k in keys]).agg(*aggregates).where(F.col("__n") == 1)
-    return grouped.select(
-        *[
-            col(c) if c in keys else F.col("__row").getField(c).alias(c)
-            for c in df.columns
-        ]
+    # Only single-row groups survive, so any row stands for its group.
+    grouped = df.groupBy(*[present(df, k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+        F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*[col(c) for c in df.columns])).alias("__row")
     )
+    return grouped.where(F.col("__n") == 1).select(*[F.col("__row").getField(c).alias(c) for c in df.columns])
 
 
 def upsert(
@@ -104,10 +97,10 @@ def upsert(
 
 
 def _without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``left`` whose key is not in ``right`` (null keys match each other)."""
+    """Rows of ``left`` whose key is not in ``right`` (null and NaN keys match each other)."""
     probe = fold_missing(right.select(*[col(k) for k in keys])).distinct()
     probe = probe.select(*[col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
-    match = [col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    match = [present(left, k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     return left.join(probe, match, "left_anti")
 
 

@@ -132,20 +132,28 @@ def sustained_alerts(
     condition: Column,
     hold_seconds: int,
     chunks: Chunks | None = None,
+    step_seconds: int | None = None,
 ) -> DataFrame:
     """Stretches during which the condition held without a break for the hold time.
 
     ``evaluations`` has one row per series and evaluation time. Each output row
     is one alert: ``active_since``, ``firing_at`` (first evaluation at least the
-    hold time later), ``last_true_at`` and the number of true evaluations.
+    hold time later), ``last_true_at`` and the number of true evaluations. With
+    ``step_seconds``, the evaluation interval, a longer step between two rows is
+    a gap and ends the stretch, as an evaluation without a sample does.
     Evaluations come from windows, so a series is as long as its time range; for
     longer ones pass ``find_chunks``.
     """
     flags = evaluations.select(
         *[col(s) for s in series], col(ts), F.coalesce(condition, F.lit(False)).alias("__on")
     )
-    previous = last_before(flags, {"__was": F.col("__on")}, by=series, order=[ts], chunks=chunks)
-    starts = F.when(F.col("__on") & ~F.coalesce("__was", F.lit(False)), col(ts))
+    previous = last_before(
+        flags, {"__was": F.col("__on"), "__before": col(ts)}, by=series, order=[ts], chunks=chunks
+    )
+    goes_on = F.coalesce("__was", F.lit(False))
+    if step_seconds is not None:
+        goes_on = goes_on & (seconds_between(F.col("__before"), col(ts)) <= step_seconds)
+    starts = F.when(F.col("__on") & ~goes_on, col(ts))
     islands = last_before(
         previous, {"active_since": starts}, by=series, order=[ts], inclusive=True, chunks=chunks
     ).where(F.col("__on"))

@@ -10,6 +10,7 @@ from tidemark.config import ColumnRule, Contract
 from tidemark.operators import monitor
 from tidemark.plans import query, table
 from tidemark.plans.merging import _UPSERT, master_and_batch
+from tidemark.plans.monitoring import STRETCHES
 from tidemark.session import scratch_path
 from tidemark.sources.master import MasterTable
 from tidemark.sources.tabular import write_csv
@@ -62,10 +63,12 @@ def landed_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = table(spark, sf_dir, "events").schema
+    events = table(spark, sf_dir, "events")
     # A file source watches folders; the pattern narrows it to the one table.
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return stream.with_event_time(source, "ts", "1 hour")
+    source = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    # The delay and the longest window: every window of the table closes, the marker's own does not.
+    end = stream.end_marker(events, "ts", "2 HOURS", scratch_path(spark, "end"))
+    return stream.with_event_time(source.unionByName(end), "ts", "1 hour")
 
 
 def _drain(spark: SparkSession, writer: DataStreamWriter, label: str, schema) -> DataFrame:
@@ -83,18 +86,13 @@ def _wall_clock(name: str) -> F.Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
-# Up to where the watermark has closed windows at the end of the data.
-_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
-
-
 def _bucket(minutes: int) -> str:
     return f"time_bucket(INTERVAL {minutes} MINUTE, ts, TIMESTAMP '1970-01-01')"
 
 
 @query(
-    f"SELECT * FROM (SELECT {_bucket(30)} AS window_start, event_type, "
-    "round(count(*) / 1800.0::DOUBLE, 9) AS rate FROM events GROUP BY ALL) "
-    f"WHERE window_start + INTERVAL 30 MINUTE <= {_CLOSED}"
+    f"SELECT {_bucket(30)} AS window_start, event_type, round(count(*) / 1800.0::DOUBLE, 9) AS rate "
+    "FROM events GROUP BY ALL"
 )
 def rate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Request rates by Structured Streaming in append mode."""
@@ -104,21 +102,21 @@ def rate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH hourly AS (
-      SELECT event_type, {_bucket(60)} AS seen, avg(value) > 20 AS hot FROM events GROUP BY ALL),
-    evals AS (SELECT * FROM hourly WHERE seen + INTERVAL 1 HOUR <= {_CLOSED}),
-    marked AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY seen)
-                       - row_number() OVER (PARTITION BY event_type, hot ORDER BY seen) AS island FROM evals),
-    stretches AS (SELECT *, min(seen) OVER (PARTITION BY event_type, island) AS since FROM marked WHERE hot)
+    f"""WITH {STRETCHES}
     SELECT event_type, since AS active_since, min(seen) AS firing_at
     FROM stretches WHERE seen >= since + INTERVAL 2 HOUR GROUP BY event_type, since"""
 )
 def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sustained alerts by a stateful stream; equals the batch islands."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", stream.ROCKSDB)
     evaluations = stream.evaluate_windows(
         _event_stream(spark, sf_dir), ["event_type"], "ts", "1 hour", F.avg("value") > 20
     )
-    alerts = stream.sustained_alert_stream(evaluations, ["event_type"], 7200)
-    out = _drain(spark, alerts.writeStream, "alerts", alerts.schema)
+    alerts = stream.sustained_alert_stream(evaluations, ["event_type"], 7200, 3600)
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, stream.ROCKSDB)
+    try:
+        out = _drain(spark, alerts.writeStream, "alerts", alerts.schema)
+    finally:
+        spark.conf.set(store, before)
     return out.select("event_type", _wall_clock("active_since"), _wall_clock("firing_at"))

@@ -60,13 +60,12 @@ def linked_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"WITH {_DOCS}, {_FILES} SELECT DISTINCT file FROM files WHERE file NOT IN "
-    "(SELECT scan_file FROM docs WHERE lang = 'en') AND file NOT IN "
-    "(SELECT cover_file FROM docs WHERE lang = 'en' AND cover_file IS NOT NULL)"
+    f"WITH {_DOCS}, {_FILES}, {_REFS} SELECT DISTINCT file FROM files WHERE file NOT IN "
+    "(SELECT file FROM refs WHERE name = 'cover')"
 )
 def linked_unreferenced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    english = _documents(spark, sf_dir).where(F.col("lang") == "en")
-    refs = linked.references(english, DOCUMENT_CONTRACT)
+    """Files that no document names as its cover."""
+    refs = linked.references(_documents(spark, sf_dir).drop("scan_file"), DOCUMENT_CONTRACT)
     return linked.unreferenced_files(refs, _files(spark, sf_dir))
 
 

@@ -120,23 +120,27 @@ def gauge_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratios.withColumn("used_ratio", F.round("used_ratio", 6))
 
 
+# Hours with a mean above 20 and the start of their stretch; an hour that is not hot or has no events ends it.
+STRETCHES = f"""evals AS (SELECT event_type, {_start(60)} AS seen, avg(value) > 20 AS hot FROM events GROUP BY ALL),
+    hot_hours AS (SELECT event_type, seen, seen - INTERVAL 1 HOUR * row_number() OVER (
+                    PARTITION BY event_type ORDER BY seen) AS island FROM evals WHERE hot),
+    stretches AS (SELECT *, min(seen) OVER (PARTITION BY event_type, island) AS since FROM hot_hours)"""
+
+
 @query(
-    f"""WITH evals AS (SELECT event_type, {_start(60)} AS seen, avg(value) > 20 AS hot FROM events GROUP BY ALL),
-    marked AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY seen)
-                       - row_number() OVER (PARTITION BY event_type, hot ORDER BY seen) AS island FROM evals),
-    stretches AS (SELECT *, min(seen) OVER (PARTITION BY event_type, island) AS since FROM marked WHERE hot)
+    f"""WITH {STRETCHES}
     SELECT event_type, since AS active_since,
            min(CASE WHEN seen >= since + INTERVAL 2 HOUR THEN seen END) AS firing_at,
            max(seen) AS last_true_at, count(*) AS n_evaluations
     FROM stretches GROUP BY event_type, since HAVING max(seen) >= since + INTERVAL 2 HOUR"""
 )
 def alert_sustained(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hourly mean of an endpoint stays above 20 for at least two hours."""
+    """The hourly mean of an endpoint stays above 20 for at least two hours; an hour without events ends it."""
     hourly = (
         _events(spark, sf_dir).groupBy(F.window("ts", "1 hour").alias("w"), "event_type")
         .agg(F.avg("value").alias("mean")).select("event_type", F.col("w.start").alias("seen"), "mean")
     )
-    return monitor.sustained_alerts(hourly, ["event_type"], "seen", F.col("mean") > 20, 7200)
+    return monitor.sustained_alerts(hourly, ["event_type"], "seen", F.col("mean") > 20, 7200, step_seconds=3600)
 
 
 @query(

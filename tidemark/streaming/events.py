@@ -42,47 +42,64 @@ def evaluate_windows(
 
 
 class AlertProcessor(StatefulProcessor):
-    """Walks the closed windows of one series; keeps (active_since, fired) between triggers."""
+    """Joins the closed windows of one series into stretches.
 
-    def __init__(self, names: Sequence[str], hold_seconds: int) -> None:
+    Between triggers a stretch that goes on is kept: its start, its last window
+    and whether its alert was sent.
+    """
+
+    def __init__(self, names: Sequence[str], hold_seconds: int, step_seconds: int | None = None) -> None:
         self._names = list(names)
         self._hold = pd.Timedelta(seconds=hold_seconds)
+        self._step = None if step_seconds is None else pd.Timedelta(seconds=step_seconds)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # The instant travels as a number, so no time zone touches it.
-        self._stretch = handle.getValueState("stretch", "since_ns bigint, fired boolean")
+        # Instants travel as numbers, so no time zone touches them.
+        self._stretch = handle.getValueState("stretch", "since_ns bigint, last_ns bigint, fired boolean")
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
     ) -> Iterator[pd.DataFrame]:
-        since, fired = self._stretch.get() if self._stretch.exists() else (None, False)
-        since = None if since is None else pd.Timestamp(since)  # nanoseconds
-        closed = pd.concat(list(rows)).sort_values("evaluated_at")
-        firing = []
-        for at, on in zip(closed["evaluated_at"], closed["is_on"]):
-            if not on:
-                since, fired = None, False
-                continue
-            since = at if since is None else since
-            if not fired and at - since >= self._hold:
-                firing.append((*key, since, at))
-                fired = True
-        if since is None:
-            self._stretch.clear()
+        closed = pd.concat(list(rows)).sort_values("evaluated_at", ignore_index=True)
+        at, on = closed["evaluated_at"], closed["is_on"].astype(bool)
+        was, before = on.shift(1, fill_value=False), at.shift(1)
+        since = fired = None
+        if self._stretch.exists():
+            since, last, fired = self._stretch.get()
+            since = pd.Timestamp(since)  # nanoseconds
+            was.iloc[0], before.iloc[0] = True, pd.Timestamp(last)
+        goes_on = was if self._step is None else was & (at - before <= self._step)
+        start = at.where(on & ~goes_on)
+        if since is not None and on.iloc[0] and goes_on.iloc[0]:
+            start.iloc[0] = since
+        start = start.ffill().where(on)
+        held = pd.DataFrame({"active_since": start, "firing_at": at})[on & (at - start >= self._hold)]
+        firing = held.drop_duplicates("active_since")
+        if fired:
+            firing = firing[firing["active_since"] != since]
+        if on.iloc[-1]:
+            now = start.iloc[-1]
+            sent = bool((held["active_since"] == now).any()) or (bool(fired) and now == since)
+            self._stretch.update((now.value, at.iloc[-1].value, sent))
         else:
-            self._stretch.update((since.value, fired))
-        yield pd.DataFrame(firing, columns=[*self._names, "active_since", "firing_at"])
+            self._stretch.clear()
+        for name, value in zip(reversed(self._names), reversed(key)):
+            firing.insert(0, name, value)
+        yield firing
 
     def close(self) -> None:
         pass
 
 
-def sustained_alert_stream(evaluations: DataFrame, series: Sequence[str], hold_seconds: int) -> DataFrame:
+def sustained_alert_stream(
+    evaluations: DataFrame, series: Sequence[str], hold_seconds: int, step_seconds: int | None = None
+) -> DataFrame:
     """Emit ``(series..., active_since, firing_at)`` once per alert, when it starts firing.
 
     ``evaluations`` comes from ``evaluate_windows`` in append mode: a window
     arrives once, after every earlier window of its series, so late rows are
-    settled before they get here. Needs the RocksDB state store.
+    settled before they get here. With ``step_seconds``, the length of a window,
+    a missing window ends a stretch. Needs the RocksDB state store.
     """
     key_types = {f.name: f.dataType for f in evaluations.schema.fields if f.name in series}
     out = T.StructType(
@@ -90,5 +107,20 @@ def sustained_alert_stream(evaluations: DataFrame, series: Sequence[str], hold_s
         + [T.StructField("active_since", T.TimestampType()), T.StructField("firing_at", T.TimestampType())]
     )
     return evaluations.groupBy(*[col(n) for n in series]).transformWithStateInPandas(
-        AlertProcessor(series, hold_seconds), out, outputMode="Append", timeMode="None"
+        AlertProcessor(series, hold_seconds, step_seconds), out, outputMode="Append", timeMode="None"
     )
+
+
+def end_marker(events: DataFrame, ts: str, after: str, path: str) -> DataFrame:
+    """A stream of one row, null but for an event time ``after`` the last of a finished table.
+
+    United with the stream of that table before the watermark is set, it moves
+    the watermark past the table's last window, which append mode else keeps.
+    Written below ``path``; ``after`` is the delay and a window at least.
+    """
+    last = events.agg((F.max(col(ts)) + F.expr(f"INTERVAL {after}")).alias("__last"))
+    row = last.select(*[
+        (F.col("__last") if f.name == ts else F.lit(None)).cast(f.dataType).alias(f.name) for f in events.schema.fields
+    ])
+    row.write.parquet(path)
+    return events.sparkSession.readStream.schema(row.schema).parquet(path)

@@ -17,9 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.config import Contract
 from tidemark.jobs.ingestion import BatchResult, preprocess_batch
 from tidemark.sources.images import image_headers
-from tidemark.sources.listing import check_listing, classify
+from tidemark.sources.listing import IngestionError, check_listing, classify
 from tidemark.sources.master import MasterTable
-from tidemark.sources.tabular import read_text_table
+from tidemark.sources.tabular import read_text_files
 
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -34,12 +34,14 @@ class Landed:
 
 
 def batch_id_of(files: DataFrame) -> str:
-    """``batch_<newest file time>_<hex6 of the file names>``: the same files, the same id."""
+    """``batch_<newest file time>_<digest of the files' names, times, lengths>``: the same files, the same id."""
+    # Two sums of independent hashes: 128 bits, in any order of the files.
+    facts = (F.col("path"), F.col("modificationTime").cast("long"), F.col("length"))
     row = files.agg(
         F.date_format(F.max("modificationTime"), "yyyyMMdd_HHmmss").alias("t"),
-        F.substring(F.lower(F.hex(F.bit_xor(F.xxhash64("path", "length")))), -6, 6).alias("h"),
+        *[F.lpad(F.lower(F.hex(F.bit_xor(F.xxhash64(F.lit(i), *facts)))), 16, "0").alias(f"h{i}") for i in range(2)],
     ).first()
-    return f"batch_{row['t']}_{row['h'].rjust(6, '0')}"
+    return f"batch_{row['t']}_{row['h0']}{row['h1']}"
 
 
 def land_batch(files: DataFrame, raw_root: str, contract: Contract) -> Landed | None:
@@ -57,7 +59,9 @@ def land_batch(files: DataFrame, raw_root: str, contract: Contract) -> Landed |
     # One path per new file, as many as one trigger admits.
     paths = sorted(r["path"] for r in listed.where(F.col("kind") == "tabular").select("path").collect())
     raw_path = f"{raw_root}/tabular/batch_id={batch_id}"
-    read_text_table(spark, paths).write.mode("overwrite").parquet(raw_path)
+    read_text_files(spark, paths, contract).write.mode("overwrite").parquet(raw_path)
+    if spark.read.parquet(raw_path).select("file_name").distinct().count() < len(paths):
+        raise IngestionError(f"batch {batch_id} has files without rows")
     images_path = None
     if counts["image"]:
         images_path = f"{raw_root}/images/batch_id={batch_id}"
