@@ -118,6 +118,22 @@ def align(item: np.ndarray, doc: np.ndarray, first: int, width: int) -> tuple[np
     return edits, np.clip(places, 0, len(doc))
 
 
+def unchanged(index: Index, doc: np.ndarray, at: np.ndarray, item: np.ndarray, place: np.ndarray) -> dict[int, tuple[int, ...]]:
+    """For each item a passage that the document holds without an edit, the first in the item: q-grams in a row on one diagonal."""
+    order = np.lexsort((place, at - place, item))
+    at, item, place = at[order], item[order], place[order]
+    goes_on = (item[1:] == item[:-1]) & (at[1:] == at[:-1] + 1) & (place[1:] == place[:-1] + 1)
+    head = np.concatenate(([0], np.flatnonzero(~goes_on) + 1))
+    long_enough = np.diff(np.append(head, len(at))) >= index.bounds[item[head], 0] - Q + 1
+    found: dict[int, tuple[int, ...]] = {}
+    for h in head[long_enough].tolist():
+        k, d, i = int(item[h]), int(at[h]), int(place[h])
+        width = int(index.bounds[k, 0])
+        if (k not in found or i < found[k][3]) and np.array_equal(doc[d : d + width], index.codes[k][i : i + width]):
+            found[k] = k, d, d + width, i, i + width, 0
+    return found
+
+
 def leaks(text: str, index: Index) -> Iterator[tuple[int, int, int, int, int, int]]:
     """``(item, document start, end, item start, end, edits)`` of the best passage per item."""
     doc = codes(plain(text))
@@ -127,6 +143,11 @@ def leaks(text: str, index: Index) -> Iterator[tuple[int, int, int, int, int, in
     if not len(at):
         return
     passage, errors = index.bounds[:, 0], index.bounds[:, 1]
+    best = unchanged(index, doc, at, item, place)
+    # An item found unchanged needs no alignment, nor does one that allows no edits.
+    open_items = (errors > 0) & ~np.isin(np.arange(len(errors)), list(best))
+    rest = open_items[item]
+    at, item, place = at[rest], item[rest], place[rest]
     step = np.maximum(errors, 4)[item]
     diagonal = at - place
     # Bands overlap by the edits, so some band holds all q-grams of a passage.
@@ -134,17 +155,24 @@ def leaks(text: str, index: Index) -> Iterator[tuple[int, int, int, int, int, in
     again = diagonal - band * step < errors[item]
     who = np.concatenate((item, item[again]))
     which = np.concatenate((band, band[again] - 1))
-    keys, counts = np.unique(who * _BANDS + which + _BANDS // 2, return_counts=True)
-    need = passage - Q + 1 - Q * errors
-    held = counts >= np.maximum(need[keys // _BANDS], 1)
-    enough = keys[held][np.argsort(-counts[held], kind="stable")]
-    best: dict[int, tuple[int, ...]] = {}
+    keys = who * _BANDS + which + _BANDS // 2
+    places = np.concatenate((place, place[again]))
+    order = np.lexsort((places, keys))
+    keys, places = keys[order], places[order]
+    # A q-gram of the item counts once a band, and only with those within a passage of it.
+    distinct = np.append(True, (keys[1:] != keys[:-1]) | (places[1:] != places[:-1]))[: len(keys)]
+    keys, places = keys[distinct], places[distinct]
+    owner = keys // _BANDS
+    last = np.arange(len(keys)) + np.maximum(passage - Q + 1 - Q * errors, 1)[owner] - 1
+    first = np.flatnonzero(last < len(keys))
+    last = last[first]
+    held = (keys[last] == keys[first]) & (places[last] - places[first] <= passage[owner[first]] - Q)
+    enough, counts = np.unique(keys[first[held]], return_counts=True)
+    enough = enough[np.argsort(-counts, kind="stable")]
     for k, b in zip((enough // _BANDS).tolist(), (enough % _BANDS - _BANDS // 2).tolist()):
-        if k in best and best[k][-1] == 0:
-            continue
         e, width = int(errors[k]), int(passage[k])
-        first = b * max(e, 4) - e
-        edits, places = align(index.codes[k], doc, first, max(e, 4) + 3 * e + 1)
+        diagonal = b * max(e, 4) - e
+        edits, places = align(index.codes[k], doc, diagonal, max(e, 4) + 3 * e + 1)
         cost = edits[width:] - edits[:-width]
         j = int(cost.argmin())
         if cost[j] <= e and (k not in best or cost[j] < best[k][-1]):
@@ -185,9 +213,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     one, with at most ``ERRORS`` of its characters edited; case and white space
     do not count, and places are those of the text without them. The filter
     loses no such passage: one of ``w`` characters with ``e`` edits shares at
-    least ``w - q + 1 - q * e`` q-grams with its place, in one band. The
-    alignment runs over the whole item, and the passage with fewest edits is
-    reported.
+    least ``w - q + 1 - q * e`` q-grams with its place, in one band and within
+    ``w`` characters of the item. The alignment runs over the whole item, and the passage with fewest edits is
+    reported. Passages without an edit are q-grams in a row and found as such.
 
     Null, empty and shorter-than-q texts and items match nothing. Rows that
     repeat give repeated rows. The benchmark is searched in passes of bounded
