@@ -28,8 +28,10 @@ from tidemark.llm.rolling import BASES, U, joined_hashes, mix, word_hashes
 # N-grams of a pair that are counted together.
 FRAGMENT = 2048
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.binary())])
-_KEYS = pa.schema([("key", pa.int64()), ("set", pa.binary())])
+_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set", pa.binary()), ("short", pa.int64())])
+_KEYS = pa.schema([("key", pa.int64()), ("short", pa.int64()), ("rule", pa.int64())])
+# A rule is a number of keys and, in its last digits, the size class they belong to.
+CLASSES = 64
 _GRAMS = pa.schema([("set", pa.binary()), ("n", pa.int64()), ("grams", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 # Words of 64 bits in a set's bitmap.
 BITMAP = 4
@@ -58,12 +60,19 @@ def _key(grams: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(grams.tobytes())
 
 
+def _short(key: bytes) -> int:
+    """The part of a set's key that goes with each of its fragments."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             sets = list(gram_sets(batch.column(1).to_pylist(), size))
+            keys = [_key(s) if len(s) else None for s in sets]
             yield batch_of(
-                _SETS, doc_id=batch.column(0), n=[len(s) for s in sets], set=[_key(s) if len(s) else None for s in sets])
+                _SETS, doc_id=batch.column(0), n=[len(s) for s in sets], set=keys,
+                short=[None if k is None else _short(k) for k in keys])
     return run
 
 
@@ -92,32 +101,35 @@ def _coarse(size: int, percent: int):
     """Keys that two linked sets share, one for each fragment of a set.
 
     Linked sets of up to ``most`` n-grams differ in fewer n-grams than there are
-    fragments. A set that may be larger after linking also has the keys of the
-    next larger sets. Where so many fragments are empty that the rest might all
-    differ, the n-grams of the prefix in hash order are keys too.
+    fragments, and an n-gram spoils one fragment: the rest, but for empty ones,
+    are keys of both. The rule says how many at least. A set that may be larger
+    after linking also has the keys of the next larger sets. Where so many
+    fragments are empty that the rest might all differ, the n-grams of the
+    prefix in hash order are keys too, and one is enough.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            keys, names = [], []
+            keys, names, rules = [], [], []
             for grams in gram_sets(batch.column(0).to_pylist(), size):
                 n = len(grams)
                 if not n:
                     continue
                 largest = n * 100 // percent
-                parts = []
+                name = _short(_key(grams))
+                differ = (n + largest) * (100 - percent) // (100 + percent)
                 for k in sorted({n.bit_length() - 1, largest.bit_length() - 1}):
                     cuts, k = fragments(1 << k, percent)
                     found, empty = _fragment_keys(grams, cuts, k)
-                    parts.append(found)
-                    differ = (n + largest) * (100 - percent) // (100 + percent)
-                    if cuts - empty <= differ:
+                    common = cuts - empty - differ
+                    if common <= 0:
                         prefix = n - -(-n * percent // 100) + 1
-                        parts.append(mix(grams[:prefix] + U(1 << 32 | k)))
-                found = np.concatenate(parts)
-                keys.append(found)
-                names.extend([_key(grams)] * len(found))
+                        found = np.concatenate([found, mix(grams[:prefix] + U(1 << 32 | k))])
+                    keys.append(found)
+                    names.append(np.full(len(found), name, dtype=np.int64))
+                    rules.append(np.full(len(found), max(1, common) * CLASSES + k, dtype=np.int64))
             if keys:
-                yield batch_of(_KEYS, key=np.concatenate(keys).view(np.int64), set=names)
+                yield batch_of(
+                    _KEYS, key=np.concatenate(keys).view(np.int64), short=np.concatenate(names), rule=np.concatenate(rules))
     return run
 
 
@@ -152,6 +164,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return df.join(sets.select(F.col("id").alias(name), "grams"), name).withColumn(
             f"{name}_grams", F.when(F.col("parts") == 1, F.col("grams")).otherwise(inside)).drop("grams")
 
+    # Only sets of a pair travel; where they are many, this join has the partitioning of the next ones.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = sets.join(measured(asked), "id", "left_semi")
     both = side(side(cut, "a"), "b").withColumn("shared", F.size(F.array_intersect("a_grams", "b_grams")))
     return both.groupBy("a", "b", "na", "nb").agg(F.sum("shared").alias("shared")).where(
         (100 + percent) * F.col("shared") >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
@@ -170,15 +185,19 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
     nothing; rows that repeat an id are documents of that id.
     """
     plain = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = saved(plain.mapInArrow(_sets(size), "doc_id long, n long, set binary"), "jaccard-sets")
+    found = saved(plain.mapInArrow(_sets(size), "doc_id long, n long, set binary, short long"), "jaccard-sets")
 
-    # Sets that share a whole fragment with another set.
-    keys = plain.select("text").mapInArrow(_coarse(size, percent), "key long, set binary")
+    # Sets that share enough whole fragments with other sets. Copies have the same keys, each of them.
+    keys = plain.select("text").mapInArrow(_coarse(size, percent), "key long, short long, rule long")
     same_key = W.partitionBy("key")
-    near = saved(
-        keys.repartition("key").withColumn("low", F.min("set").over(same_key)).withColumn("high", F.max("set").over(same_key))
-        .where("low != high").select("set").distinct(), "jaccard-near")
-    firsts = found.join(near, "set").groupBy("set").agg(F.min("doc_id").alias("doc_id"))
+    shared = (
+        keys.repartition("key").withColumn("low", F.min("short").over(same_key)).withColumn("high", F.max("short").over(same_key))
+        .where("low != high").groupBy("short", "rule").agg(F.count("*").alias("hits")))
+    each = found.where("set is not null").groupBy("set", "short").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
+    firsts = saved(
+        each.join(shared, "short").where(F.col("hits") >= F.floor(F.col("rule") / CLASSES) * F.col("copies"))
+        .select("set", "doc_id").distinct(), "jaccard-near")
+    near = firsts.select("set")
     wanted = firsts.select("doc_id").distinct()
     grams = plain.join(measured(wanted), "doc_id", "left_semi").select("text").mapInArrow(
         _grams(size), "set binary, n long, grams array<bigint>, bits array<bigint>")
