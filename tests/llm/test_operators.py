@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import textwrap
 import zlib
 
 import pytest
@@ -138,6 +139,45 @@ def test_licences(docs):
     assert {r.doc_id: r.licences for r in licenses.scan_licences(docs).collect() if r.licences} == {15: "Apache-2.0"}
 
 
+def wrapped(text: str, width: int, mark: str = "") -> str:
+    return "\n".join(mark + line for line in textwrap.wrap(text, width, break_long_words=False))
+
+
+def names(text: str) -> list[str]:
+    return licenses.match_rules(licenses.known_sentences(text))[0]
+
+
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+       "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+       "following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+       "the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the name of "
+       "Google Inc. nor the names of its contributors may be used to endorse or promote products derived from this software without "
+       "specific prior written permission.")
+MIT = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
+       "files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, "
+       "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+       "is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be "
+       "included in all copies or substantial portions of the Software.")
+
+
+@pytest.mark.parametrize("width", [14, 20, 40, 75, 10_000])
+def test_licence_sentences_wrapped_anywhere(width):
+    for mark in ("", " * "):
+        assert names(wrapped(BSD, width, mark)) == ["BSD-3-Clause"]
+        assert names(wrapped(MIT, width, mark)) == ["MIT"]
+    clause = ("Neither the name of Google Inc. nor the names of its\ncontributors may be used to endorse or promote products derived "
+              "from\nthis software without specific prior written permission.")
+    assert [n for n, _ in licenses.known_sentences(clause)] == ["BsdEndorse"]
+
+
+def test_open_part_of_a_sentence_takes_no_other_sentence():
+    assert names("Copyright 2010 A\nLicensed under the MIT license\nCopyright 2011 B. All rights reserved.") == [
+        "MIT", "All-rights-reserved"]
+    assert names("some words\nLicensed under the MIT license\nFoo is free software; you can redistribute it and/or modify it under the "
+                 "terms of the GNU General Public License as published by the Free Software Foundation, version 3") == ["MIT", "GPL-3.0"]
+    assert names("Released into the public\n * domain.") == ["Public-domain"]
+
+
 def test_quality(spark):
     rows = [(k, ("bad!!! junk %%% " if k % 3 == 0 else "") + prose(k, 30), "en", f"s{k % 4}", 100) for k in range(120)]
     docs = spark.createDataFrame([*rows, (500, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")

@@ -40,7 +40,7 @@ SENTENCES = (
     ("BsdLiability", r"in no event shall the (?:copyright (?:holder|owner)(?:s)? or contributors|author or contributors|author) be liable for any direct indirect incidental special exemplary or consequential damages .*"),
     ("MplSubject", r"this source code form is subject to the terms of the mozilla public license v(?:ersion)? ?(?P<ver>[0-9.]+)"),
     ("MplObtain", r"if a copy of the mpl was not distributed with this file you can obtain one at .*"),
-    ("CcUnder", r"(?:(?:this (?:work|program|text|page|document|article|content) is )?licensed|released|distributed|available) under (?:a |the )?(?:cc|creative commons) (?P<cc>[a-z]+(?: (?:by|nc|nd|sa))*|attribution(?: (?:noncommercial|share ?alike|noderivatives|noderivs))*)(?: license| international| unported)* ?(?P<ver>[0-9.]+)?(?: license| international(?: license)?| unported(?: license)?)?"),
+    ("CcUnder", r"(?:(?:this (?:work|program|text|page|document|article|content) is )?licensed|released|distributed|available) under (?:a |the )?(?:cc|creative commons) (?P<cc>attribution(?: (?:noncommercial|share ?alike|noderivatives|noderivs))*|[a-z]+(?: (?:by|nc|nd|sa))*)(?: license| international| unported)* ?(?P<ver>[0-9.]+)?(?: license| international(?: license)?| unported(?: license)?)?"),
     ("Unlicense", r"this is free and unencumbered software released into the public domain"),
     ("PublicDomain", r"(?:this (?:work|program|software|text|page|document|code) is |released |placed |dedicated )(?:in|into|to) the public domain"),
     ("AllRights", r"(?:copyright .* )?all rights reserved"),
@@ -67,10 +67,10 @@ RULES = (
     ("See-file", ("SeeFile",)),
 )
 
-# A sentence that holds none of these words is none of the above.
-MARK = re.compile(r"licen[sc]|copyright|permi(?:t|ss)|redistribut|warrant|public domain|free software|liable|provided|reserved|mpl", re.I)
-# Lines a sentence may be wrapped over.
-WRAP = 12
+# A text that holds none of these words holds no sentence of the above; words may be wrapped, or hold a comment mark between them.
+MARK = re.compile(
+    r"licen[sc]|copyright|permi(?:t|ss)|redistribut|warrant|public[^a-z0-9]+domain|free[^a-z0-9]+software|liable|provided|reserved"
+    r"|mpl|\bcc\b|creative[^a-z0-9]+commons", re.I)
 
 _FOUND = pa.schema([
     ("doc_id", pa.int64()), ("licences", pa.string()), ("sentences", pa.string()), ("n_known", pa.int64()), ("n_left", pa.int64()),
@@ -81,7 +81,23 @@ _FAMILY = {"gnu general public license": "GPL", "gnu lesser general public licen
            "gnu library general public license": "LGPL", "gnu affero general public license": "AGPL"}
 _NUMBER = {"two": "2", "three": "3", "four": "4"}
 _CC = {"attribution": "BY", "noncommercial": "NC", "sharealike": "SA", "noderivatives": "ND", "noderivs": "ND"}
-_COMPILED = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)
+# A normalised text is one string. Between words stands a blank, or what the place is: a wrap or the end of a sentence, the end of
+# a paragraph, the begin of a known sentence.
+_UNIT, _PARAGRAPH, _KNOWN = b"\n", b"\f", b"\r"
+
+
+def _over_lines(pattern: str) -> bytes:
+    """The pattern for a sentence wrapped anywhere: it ends where a line or sentence ends.
+
+    What a pattern leaves open ends as early as it can, before the next known sentence and with its paragraph.
+    """
+    pattern = re.sub(r"\(\?: \.\*\)\?(?=.)", r"(?: .*)??", pattern)
+    pattern = re.sub(r"(\[[^]]*\])|( \.\*)|( )", lambda m: m[1] or (r"[ \n\f][^\f\r]+?" if m[2] else r"[ \n\f\r]"), pattern)
+    return rf"(?:{pattern})(?=[\n\f\r]|\Z)".encode()
+
+
+_COMPILED = tuple((name, re.compile(_over_lines(pattern))) for name, pattern in SENTENCES)
+_ANY = re.compile(b"|".join(re.sub(rb"\(\?P<[a-z]+>", b"(?:", pattern.pattern) for _, pattern in _COMPILED))
 _EDGE = re.compile(r"(?<=[.!?;:])\s+")
 _NOISE = re.compile(r"[^a-z0-9./+-]+")
 _COMMENT = re.compile(r"^[\s/*#;%>-]+|[\s*/]+$")
@@ -93,33 +109,46 @@ def normalise(sentence: str) -> str:
     return " ".join(w for w in (w.strip("./") for w in words) if w)
 
 
-def identify(sentence: str) -> tuple[str, dict[str, str]] | None:
-    """The identifier of a normalised sentence, and what its groups hold."""
-    for name, pattern in _COMPILED:
-        found = pattern.fullmatch(sentence)
-        if found:
-            return name, {k: v.strip() for k, v in found.groupdict().items() if v}
-    return None
+def _laid_out(text: str) -> tuple[bytearray, list[int]]:
+    """The normalised text, and where its lines and the sentences inside them begin."""
+    out, starts, gap = bytearray(), [], b""
+    for line in text.split("\n"):
+        blank = True
+        for sentence in _EDGE.split(_COMMENT.sub("", line)):
+            words = normalise(sentence).encode()
+            if words:
+                out += gap
+                starts.append(len(out))
+                out += words
+                gap, blank = _UNIT, False
+        if blank and out:
+            gap = _PARAGRAPH
+    return out, starts
 
 
 def known_sentences(text: str) -> list[tuple[str, dict[str, str]]]:
-    """The known sentences of a text in order: within a line, or wrapped over following lines."""
-    lines = [_COMMENT.sub("", line) for line in text.split("\n")]
-    units: list[tuple[int, str]] = [(k, s) for k, line in enumerate(lines) for s in _EDGE.split(line) if s]
-    out, at = [], 0
-    while at < len(units):
-        taken = 1
-        joined = ""
-        if MARK.search(units[at][1]) or (len(units[at][1]) < 120 and at + 1 < len(units) and MARK.search(units[at + 1][1])):
-            for k in range(at, min(len(units), at + WRAP)):
-                joined = f"{joined} {units[k][1]}"
-                if MARK.search(joined):
-                    found = identify(normalise(joined))
-                    if found:
-                        out.append(found)
-                        taken = k + 1 - at
-                        break
-        at += taken
+    """The known sentences of a text in order: within a line, or wrapped over any number of following lines.
+
+    From the last start to the first, so that the open part of a sentence never runs over another one.
+    """
+    laid, starts = _laid_out(text)
+    found: dict[int, tuple[int, str, dict[str, str]]] = {}
+    for at in reversed(starts):
+        if not _ANY.match(laid, at):
+            continue
+        for name, pattern in _COMPILED:
+            match = pattern.match(laid, at)
+            if match:
+                held = {k: " ".join(bytes(v).decode().split()) for k, v in match.groupdict().items() if v}
+                found[at] = match.end(), name, held
+                if at:
+                    laid[at - 1 : at] = _KNOWN
+                break
+    out, end = [], 0
+    for at in starts:
+        if at >= end and at in found:
+            end, name, held = found[at]
+            out.append((name, held))
     return out
 
 
@@ -176,8 +205,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scan_licences(docs: DataFrame) -> DataFrame:
     """``FOUND``: one row per document with the licences its text names, in order.
 
-    Sentences are normalised (case, punctuation, comment marks, line wraps) and
-    mapped to identifiers; rules are tried in order and take their sentences.
+    Sentences are normalised (case, punctuation, comment marks, line wraps), taken
+    as long as they go, and mapped to identifiers; rules are tried in order and take their sentences.
     A null or empty text has no licences (empty strings). Rows map to rows.
     """
     plain = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
