@@ -178,6 +178,17 @@ def test_open_part_of_a_sentence_takes_no_other_sentence():
     assert names("Released into the public\n * domain.") == ["Public-domain"]
 
 
+def test_licence_sentences_are_taken_as_long_as_they_go():
+    gnu = ("This program is free software; you can redistribute it and/or modify it under the terms of the\nGNU General Public "
+           "License as published by the Free Software Foundation; either version 2\n")
+    assert names(gnu + "of the License, or (at your option) any later version.") == ["GPL-2.0-or-later"]
+    assert names(gnu + "and some other words") == ["GPL-2.0"]
+    assert names("licensed under the GNU General Public License\nversion 3") == ["GPL-3.0"]
+    assert names("licensed under the GNU General Public License\nversion 3\nor later") == ["GPL-3.0-or-later"]
+    assert names("released under Creative Commons Attribution\nNonCommercial 4.0") == ["CC-BY-NC-4.0"]
+    assert names("SPDX-License-Identifier: mit\nimport os") == ["mit"]
+
+
 def test_quality(spark):
     rows = [(k, ("bad!!! junk %%% " if k % 3 == 0 else "") + prose(k, 30), "en", f"s{k % 4}", 100) for k in range(120)]
     docs = spark.createDataFrame([*rows, (500, None, None, None, None)], "doc_id long, text string, lang string, source string, n_chars long")
