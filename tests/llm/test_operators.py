@@ -198,6 +198,24 @@ def test_quality(spark):
     assert all(r.kept for r in quality.rate(docs, labels.limit(0)).collect())
 
 
+def test_quality_learns_from_all_documents_without_label(spark, monkeypatch):
+    kept = {}
+
+    def saved(df, label):
+        kept[label] = save(df, label)
+        return kept[label]
+
+    save = quality.saved
+    monkeypatch.setattr(quality, "saved", saved)
+    docs = spark.range(10_300).select(
+        F.when(F.col("id") < 10_250, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "bad junk !!!").otherwise("good clean words").alias("text"))
+    docs = docs.unionByName(docs.where("doc_id = 500"))
+    labels = spark.createDataFrame([(k, int(k % 3 != 0), 0) for k in range(100)] + [(400, None, 0)], "doc_id long, quality int, toxic int")
+    assert quality.co_train(docs, labels) is not None
+    assert kept["quality-pool"].count() == 10_201 and kept["quality-vectors"].count() == 100
+
+
 @pytest.mark.parametrize("operator", [
     exact.exact_duplicates, suffix.remove_repeats, jaccard.jaccard_components, language.backoff_scores, lines.line_classes,
     lines.drop_repeated_lines, licenses.scan_licences, lambda d: secrets.find_secrets(d, secrets.fit(secrets.labelled(d))),

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.joins import measured
 from tidemark.llm.common import saved
 
-# Bounds of the samples the classifiers are fitted on; all documents are scored.
+# Bound of the labelled sample; all documents without label are the pool, all documents are scored.
 MAX_LABELLED = 20_000
-MAX_POOL = 10_000
 ROUNDS = 3
 # Pseudo-labels need this certainty.
 CONFIDENT = 0.97
@@ -100,24 +99,21 @@ def _platt(scored: DataFrame, view: str) -> tuple[float, float]:
     return float(fitted.coefficients[0]), float(fitted.intercept)
 
 
-def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED,
-             max_pool: int = MAX_POOL) -> CoTrained | None:
-    """Fit both views on a bounded sample; None if the labels show fewer than two classes.
+def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_labelled: int = MAX_LABELLED) -> CoTrained | None:
+    """Fit both views; None if the labels show fewer than two classes.
 
     The labelled sample is at most ``max_labelled`` documents, a fifth of it
-    held out to calibrate; the pool is at most ``max_pool`` documents without
-    label. In each round a view also learns from the pool's documents that the
-    other view is ``CONFIDENT`` about.
+    held out to calibrate. The pool is every document without label, those with
+    a null or repeated id too. In each round each view scores the whole pool and
+    the other one also learns from all documents it is ``CONFIDENT`` about.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     known = goodness(labels).join(ids, "doc_id")
     labelled = _sample(known, max_labelled)
-    pool = _sample(ids.join(goodness(labels), "doc_id", "left_anti"), max_pool).withColumn("label", F.lit(None).cast("double"))
-    chosen = labelled.unionByName(pool)
-    sample = saved(rated(docs).join(measured(chosen), "doc_id").dropDuplicates(["doc_id"]), "quality-sample")
+    sample = saved(rated(docs).join(measured(labelled), "doc_id").dropDuplicates(["doc_id"]), "quality-sample")
     held_out = (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(1000)) < int(HELD_OUT * 1000))
 
-    train = sample.where(F.col("label").isNotNull() & ~held_out)
+    train = sample.where(~held_out)
     if train.select("label").distinct().count() < 2:
         return None
     words = RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\p{L}+|[^\p{L}\s]+", gaps=False, toLowercase=True)
@@ -129,8 +125,11 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_label
     metadata = Pipeline(stages=[facts]).fit(train)
     vectors = saved(metadata.transform(content.transform(sample)).select(
         "doc_id", "label", held_out.alias("held_out"), "content_x", "metadata_x"), "quality-vectors")
-    train = vectors.where("label is not null and not held_out")
-    pool = vectors.where("label is null")
+    train = vectors.where("not held_out")
+    # An outer join, so that vectors travel where the labels are many: an anti join would be moved below them, to the texts.
+    told_ids = measured(goodness(labels).select("doc_id", F.lit(True).alias("told")))
+    pool = saved(metadata.transform(content.transform(rated(docs))).select("doc_id", "content_x", "metadata_x").join(
+        told_ids, "doc_id", "left").where("told is null").select("content_x", "metadata_x"), "quality-pool")
 
     told = {view: None for view in VIEWS}
     classifiers: dict[str, LogisticRegressionModel] = {}
@@ -142,10 +141,10 @@ def co_train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, max_label
             classifiers[view] = _classifier(view).fit(rows)
         for view, other in (VIEWS, VIEWS[::-1]):
             p = vector_to_array(F.col(f"{view}_p"))[1]
-            told[other] = classifiers[view].transform(pool.drop("label")).withColumn("label", F.round(p)).where(
+            told[other] = classifiers[view].transform(pool).withColumn("label", F.round(p)).where(
                 (p >= CONFIDENT) | (p <= 1 - CONFIDENT))
 
-    check = vectors.where("label is not null and held_out")
+    check = vectors.where("held_out")
     if check.select("label").distinct().count() < 2:
         check = train
     for view in VIEWS:
