@@ -126,6 +126,14 @@ def test_line_classes(spark):
     assert left == {1: base, 2: "short", 3: None}
 
 
+def test_equal_short_lines_are_one_class(spark):
+    docs = spark.createDataFrame([(1, "Les.\none\n\n  "), (2, "Les.\nLas.\n\n  "), (3, "two\nLes."), (None, "Les.")], "doc_id long, text string")
+    got = {(r.doc_id, r.line_no, r.class_doc, r.class_line, r.kept) for r in lines.line_classes(docs).collect()}
+    assert got == {(1, 0, 1, 0, True), (2, 0, 1, 0, False), (3, 1, 1, 0, False), (None, 0, 1, 0, False)}
+    left = {r.doc_id: r.text for r in lines.drop_repeated_lines(docs).collect()}
+    assert left == {1: "Les.\none\n\n  ", 2: "Las.\n\n  ", 3: "two"}
+
+
 def test_leaks(spark):
     item = prose(9, 30)
     bench = spark.createDataFrame([(1, item), (2, None), (3, "")], "item_id long, text string")

@@ -17,7 +17,7 @@ from tidemark.llm.common import saved, texts
 from tidemark.llm.components import components
 
 EDITS = 2
-# Shorter lines are left alone: two edits would join different ones.
+# Shorter lines link only if they are equal: two edits would join different ones.
 MIN_CHARS = 24
 # Letters that are counted to tell lines apart before the edit distance, eight a number.
 LETTERS = ("etanirso", "hldcumgw")
@@ -145,21 +145,24 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 
 
 def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """``(doc_id, line_no, class_doc, class_line, kept)`` of each line of ``min_chars`` characters or more.
+    """``(doc_id, line_no, class_doc, class_line, kept)`` of each line of ``min_chars`` characters or more, and of shorter repeats.
 
     Lines within ``edits`` edits link; a class is a component of links, named
     after its first line by ``doc_id``, then number, which alone is kept. Equal
-    lines are one line with several places.
+    lines are one line with several places. Lines under ``min_chars`` link only
+    with equal ones: those that others equal have a row, the first one too;
+    single and blank ones have none.
 
     A null text is empty. A null ``doc_id`` stands last. Rows that repeat an id
     are one document: its lines of equal number and class are kept together.
     Tables without such lines give no rows.
     """
-    every = lines_of(docs).where(F.length("line") >= min_chars).withColumn("hash", F.unhex(F.md5("line")))
-    near = saved(near_lines(every.select("hash", "line"), edits), "lines-near")
+    long = F.length("line") >= min_chars
+    every = lines_of(docs).where(long | F.col("line").rlike(r"\S")).withColumn("hash", F.unhex(F.md5("line")))
+    near = saved(near_lines(every.where(long).select("hash", "line"), edits), "lines-near")
     place = F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("line_no").alias("line"))
-    firsts = every.groupBy("hash").agg(F.min(place).alias("first"))
-    firsts = saved(firsts, "lines-firsts")
+    firsts = every.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("places"), F.max(long).alias("long"))
+    firsts = saved(firsts.where("long or places > 1").select("hash", "first"), "lines-firsts")
     linked = firsts.join(near, "hash")
     first_of = linked.groupBy("root").agg(F.min("first").alias("first"))
     apart = firsts.join(near, "hash", "left_anti")
