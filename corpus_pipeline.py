@@ -2,40 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, lines, packing, quality
-from tidemark.llm.common import saved
+from tidemark.llm.common import NUMBER, ROW, numbered, saved
 from tidemark.llm.queries import TOKENIZER, table
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose id is not among ``gone``."""
-    ids = gone.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["gone_id"]), "left_anti")
+def _without(docs: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that ``find`` does not name: it sees a number of each row as ``doc_id``, so no row goes with another."""
+    rows = numbered(docs)
+    gone = find(rows.withColumn("doc_id", F.col(NUMBER))).select(F.col("doc_id").alias("gone_id")).distinct()
+    return rows.join(gone, rows[NUMBER] == gone["gone_id"], "left_anti").select(*docs.columns)
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier keeps."""
-    return _without(docs, quality.rate(docs, table(spark, sf_dir, "labels")).where("not kept"))
+    """Documents that the quality classifier keeps, each with a key of its row."""
+    return quality.good(docs, table(spark, sf_dir, "labels")).withColumn(ROW, F.monotonically_increasing_id())
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that an earlier document, or line, has too."""
+    """Documents without lines that an earlier document, or line, has too; short lines only if they are equal."""
     return lines.drop_repeated_lines(docs)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    found = jaccard.jaccard_components(docs, size=5, percent=80)
-    return _without(docs, found.where("component_id is not null and doc_id is distinct from component_id"))
+    return _without(docs, lambda rows: jaccard.jaccard_components(rows, size=5, percent=80).where("doc_id != component_id"))
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return _without(docs, decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")))
+    return _without(docs, lambda rows: decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark")))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import measured
 from tidemark.session import scratch_path
 
 # Texts handled together inside a task, in characters: bounds the arrays of one step.
@@ -28,6 +29,30 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# The column that tells rows apart in tables that one stage writes and the next one reads.
+ROW = "row_key"
+NUMBER = "row_number"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a ``NUMBER`` each, none twice: ``doc_id``, or a larger number where that is null or an earlier row's.
+
+    Numbers derive from ``ROW``; a table without it is written first.
+    """
+    if ROW not in docs.columns:
+        docs = saved(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
+    own = F.col("doc_id").cast("long")
+    top, last = docs.agg(F.max(own), F.max(ROW)).first()
+    base = max(0, (top if top is not None else -1) + 1)
+    if base + (last or 0) >= (1 << 63) - 1:
+        raise ValueError(f"doc_id {top} leaves no numbers for rows without an id of their own")
+    again = docs.where("doc_id is not null").groupBy(own.alias("again")).agg(
+        F.min(ROW).alias("first_row"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = docs.join(measured(again), own == F.col("again"), "left")
+    keeps = own.isNotNull() & (F.col("first_row").isNull() | (F.col("first_row") == F.col(ROW)))
+    return joined.select(*docs.columns, F.when(keeps, own).otherwise(F.lit(base) + F.col(ROW)).alias(NUMBER))
+
+
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``CHUNK_CHARS`` characters, one row at least."""
     for batch in batches:

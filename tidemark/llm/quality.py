@@ -27,8 +27,8 @@ KEEP = 0.5
 VIEWS = ("content", "metadata")
 
 
-def rated(docs: DataFrame) -> DataFrame:
-    """The columns both views read, nulls filled: other columns of the table stay out."""
+def rated(docs: DataFrame, *more: str) -> DataFrame:
+    """The columns both views read, nulls filled: other columns of the table stay out, but for those named."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = F.coalesce(F.col("n_chars").cast("double"), F.length(text).cast("double")) if "n_chars" in docs.columns else (
         F.length(text).cast("double"))
@@ -40,7 +40,7 @@ def rated(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), name("lang"), name("source"),
         F.floor(F.log2(size + 1)).cast("string").alias("size_class"),
-        F.floor(F.log2(size / lines + 1)).cast("string").alias("line_class"),
+        F.floor(F.log2(size / lines + 1)).cast("string").alias("line_class"), *more,
     )
 
 
@@ -63,9 +63,9 @@ class CoTrained:
     def features(self, docs: DataFrame) -> DataFrame:
         return self.metadata.transform(self.content.transform(docs))
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """``(doc_id, p_content, p_metadata, p_good)``, calibrated; the views' log-odds add up over the prior's."""
-        df = self.features(rated(docs))
+    def score(self, docs: DataFrame, *more: str) -> DataFrame:
+        """``(doc_id, p_content, p_metadata, p_good)`` and the columns named, calibrated; the views' log-odds add up over the prior's."""
+        df = self.features(rated(docs, *more))
         odds = {}
         for view in VIEWS:
             df = self.classifiers[view].transform(df)
@@ -77,7 +77,7 @@ class CoTrained:
             return 1 / (1 + F.exp(-x))
 
         return df.select("doc_id", p(odds["content"]).alias("p_content"), p(odds["metadata"]).alias("p_metadata"),
-                         p(both).alias("p_good"))
+                         p(both).alias("p_good"), *more)
 
 
 def _classifier(view: str) -> LogisticRegression:
@@ -166,3 +166,12 @@ def rate(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return rated(docs).select("doc_id", none.alias("p_content"), none.alias("p_metadata"), none.alias("p_good"),
                                   F.lit(True).alias("kept"))
     return model.score(docs).withColumn("kept", F.col("p_good") >= KEEP)
+
+
+def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows that ``rate`` keeps, all columns: each row by its own score, whatever others have its id."""
+    model = co_train(docs, labels)
+    if model is None:
+        return docs
+    whole = docs.withColumn("whole_row", F.struct(*docs.columns))
+    return model.score(whole, "whole_row").where(F.col("p_good") >= KEEP).select("whole_row.*")
