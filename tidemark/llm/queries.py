@@ -8,9 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, suffix
+from tidemark.llm import (
+    decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, suffix, tokens,
+)
+from tidemark.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,10 +63,16 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, so that every run encodes what it reads."""
+    docs = table(spark, sf_dir, "documents")
+    return tokens.token_counts(docs, public_tokenizers.path(PIECES), scratch_path(spark, "token-cache"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secrets, op2_packing, op3_line_dedup, op4_decontamination, op5_lm_scoring, op6_quality, op7_exact_dedup,
-        op8_suffix_dedup, op9_license_scan, op10_jaccard_join,
+        op8_suffix_dedup, op9_license_scan, op10_jaccard_join, op13_token_counts,
     )
 }
 
