@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, suffix, tokens,
+    decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, spelling,
+    suffix, tokens,
 )
 from tidemark.session import scratch_path
 
@@ -63,6 +64,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that every run encodes what it reads."""
     docs = table(spark, sf_dir, "documents")
@@ -72,7 +77,7 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secrets, op2_packing, op3_line_dedup, op4_decontamination, op5_lm_scoring, op6_quality, op7_exact_dedup,
-        op8_suffix_dedup, op9_license_scan, op10_jaccard_join, op13_token_counts,
+        op8_suffix_dedup, op9_license_scan, op10_jaccard_join, op11_spelling_variants, op13_token_counts,
     )
 }
 
