@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, spelling,
-    suffix, tokens,
+    alignment, decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, spelling, suffix, tokens,
 )
 from tidemark.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 PIECES = "piece_bpe_32k.model"
+BYTES = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.token_alignment(docs, public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, so that every run encodes what it reads."""
     docs = table(spark, sf_dir, "documents")
@@ -77,7 +82,8 @@ def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secrets, op2_packing, op3_line_dedup, op4_decontamination, op5_lm_scoring, op6_quality, op7_exact_dedup,
-        op8_suffix_dedup, op9_license_scan, op10_jaccard_join, op11_spelling_variants, op13_token_counts,
+        op8_suffix_dedup, op9_license_scan, op10_jaccard_join, op11_spelling_variants, op12_token_alignment,
+        op13_token_counts,
     )
 }
 
