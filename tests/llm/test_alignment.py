@@ -78,6 +78,17 @@ def test_equal_to_plain_version(spark, rows, pair, postings):
     assert found == plain(rows, pair)[0]
 
 
+def test_faster_library_has_the_same_ids(pair):
+    draw = random.Random(9)
+    letters = "abcXYZ' '  \t\n\r.,-=019éßÀɏ£½²ª'stllve<|>"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 80))) for _ in range(3000)] + [" ", "a  ", "\n ", "'ll 's", "<|endoftext|>"]
+    assert pair.fast is not None
+    for text in texts:
+        assert pair.ids_a(text).tolist() == pair.a.encode(text, add_special_tokens=False).ids
+    # A vocabulary with other rules keeps its own library.
+    assert alignment.Pair(public_tokenizers.path("word_bpe_49k.json"), B).fast is None
+
+
 def test_counts_of_pairs(spark, rows, pair):
     counts = alignment.pair_counts(alignment.aligned(frame(spark, rows), A, B)).collect()
     assert {(r.a, r.b): r.n_docs for r in counts} == dict(plain(rows, pair)[1])

@@ -10,7 +10,9 @@ documents of a pair, and read again to give each document its scores.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +28,11 @@ BLOCK_DOCS = 1 << 16
 BLOCK_POSTINGS = 2_000_000
 # Groups with more links are counted by distinct ids.
 LARGE = 1024
-# Texts that are encoded together.
-ENCODED = 64
+
+# Fixed value: how byte-level vocabularies of this kind part a text before they merge bytes.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Libraries may class other letters than these differently.
+_OTHER = re.compile(r"[^\t\n\r -~\u00a1-\u024f]")
 
 _FOUND = pa.schema([
     ("block", pa.int64()), ("at", pa.int32()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
@@ -73,6 +78,25 @@ class Pair:
         width = len(str(most)) + 1
         self.most = most
         self.written = np.array([f"{i}{mark}".encode() for mark in ",|;" for i in range(most)], dtype=f"S{width}")
+        self.fast = self._fast(path_a)
+
+    def _fast(self, path: str):
+        """The first vocabulary in a faster library, if it merges plainly: by number of id, with no other rules."""
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model, level = spec["model"], spec["pre_tokenizer"] or {}
+        merges = ["".join(m.split(" ", 1) if isinstance(m, str) else m) for m in model.get("merges") or []]
+        plain = (
+            model["type"] == "BPE" and spec["normalizer"] is None and level.get("type") == "ByteLevel" and level.get("use_regex", True)
+            and not level.get("add_prefix_space") and not model.get("ignore_merges")
+            and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+            and all(model["vocab"].get(m) == 256 + k for k, m in enumerate(merges)))
+        if not plain:
+            return None
+        import tiktoken
+
+        ranks = {self.bytes_a[i]: i for i in range(256 + len(merges))}
+        return tiktoken.Encoding("first", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -80,28 +104,30 @@ class Pair:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def encode(self, values: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both sides for each text; none where the tokens' bytes are not those of the text."""
+    def ids_a(self, text: str) -> np.ndarray:
+        if self.fast is not None and _OTHER.search(text) is None:
+            return self.fast.encode_to_numpy(text, disallowed_special=())
+        return np.array(self.a.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
+    def encode(self, values: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both sides, one text after the other, and their numbers per text; none where the tokens' bytes are not the text's."""
+        none = np.zeros(0, dtype=np.uint32)
         side_a, side_b = [], []
-        for k in range(0, len(values), ENCODED):
-            some = values[k : k + ENCODED]
-            spaced = [" " + t for t in some]
-            found_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-            for text, a, b in zip(spaced, found_a, self.b.encode(some, num_threads=1)):
-                data, ids = text.encode(), a.ids
-                if (len(text) == 1 or b"".join(map(self.bytes_a.__getitem__, ids)) != data
-                        or b"".join(map(self.bytes_b.__getitem__, b)) != data):
-                    ids, b = [], []
-                side_a.append(ids)
-                side_b.append(b)
-        return side_a, side_b
+        for text, found in zip(values, self.b.encode(values, num_threads=1)):
+            data = b" " + text.encode()
+            a, b = (self.ids_a(" " + text), np.array(found, dtype=np.uint32)) if text else (none, none)
+            if len(a) and (int(self.len_a[a].sum()) != len(data) or b"".join(map(self.bytes_b.__getitem__, found)) != data
+                           or b"".join(map(self.bytes_a.__getitem__, a.tolist())) != data):
+                a = b = none
+            side_a.append(a)
+            side_b.append(b)
+        (a, n_a), (b, n_b) = ((np.concatenate([none, *x]).astype(np.int64), np.fromiter(map(len, x), dtype=np.int64, count=len(x)))
+                              for x in (side_a, side_b))
+        return a, n_a, b, n_b
 
     def align(self, values: list[str]) -> tuple[dict[str, list], np.ndarray, np.ndarray]:
         """Columns per text, the links as ``(a * |B| + b) << 16 | text``, sorted, each once, and how often each occurs."""
-        ids_a, ids_b = self.encode(values)
-        n_a, n_b = (np.fromiter(map(len, side), dtype=np.int64, count=len(side)) for side in (ids_a, ids_b))
-        a, b = (np.fromiter((i for ids in side for i in ids), dtype=np.int64, count=int(n.sum())) for side, n in ((ids_a, n_a), (ids_b, n_b)))
-        del ids_a, ids_b
+        a, n_a, b, n_b = self.encode(values)
         # Both sides of a text have the same bytes, so places in all texts together can be compared.
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         common = np.intersect1d(end_a, end_b, assume_unique=True)
