@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.config import ColumnRule, Contract
+from tidemark.jobs.drops import ingest_drops
 from tidemark.operators import monitor
 from tidemark.plans import query, table
 from tidemark.plans.merging import _UPSERT, master_and_batch
 from tidemark.plans.monitoring import STRETCHES
 from tidemark.session import scratch_path
+from tidemark.sources.folders import publish_parts, put_marker
 from tidemark.sources.master import MasterTable
 from tidemark.sources.tabular import write_csv
 from tidemark.streaming import events as stream
@@ -47,19 +49,47 @@ ORDER_FILES = Contract(
 )
 
 
-@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice <= 480000")
-def landed_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as CSV files through the ingest stream; rows over the limit are set aside."""
+def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[MasterTable, str]:
+    """Orders as CSV files in marked drops; one drop comes first with halved prices, then corrected under the same paths.
+
+    Returns the master and the folder of the rows that were set aside.
+    """
     root = scratch_path(spark, "landing")
     orders = table(spark, sf_dir, "orders").select(*ORDER_FILES.columns)
     master = MasterTable(spark, f"{root}/master", ORDER_FILES.primary_key, "last", n_buckets=16)
-    for drop, kept in (("a", F.col("o_orderstatus") == "P"), ("b", F.col("o_orderstatus") != "P")):
-        write_csv(orders.where(kept), f"{root}/incoming/{drop}")
-        ingest_stream(
-            spark, f"{root}/incoming", f"{root}/raw", f"{root}/checkpoint", ORDER_FILES, master,
-            rejects_path=f"{root}/rejects",
-        ).awaitTermination()
-    return master.read()
+    open_orders = F.col("o_orderstatus") == "P"
+    price = F.col("o_totalprice")
+    halved = orders.where(open_orders).withColumn("o_totalprice", F.when(price <= 480000, price / 2).otherwise(price))
+    for step, (drop, rows) in enumerate((("a", halved), ("b", orders.where(~open_orders)), ("a", orders.where(open_orders)))):
+        write_csv(rows, f"{root}/written/{step}")
+        publish_parts(spark, f"{root}/written/{step}", f"{root}/incoming/{drop}", ".csv")
+        if drop == "a":
+            put_marker(spark, f"{root}/incoming/a")
+            ingest_drops(spark, f"{root}/incoming", f"{root}/raw", f"{root}/ledger", ORDER_FILES, master, f"{root}/rejects")
+        else:  # this folder has no marker of its own, the stream takes what it finds
+            ingest_stream(
+                spark, f"{root}/incoming/b", f"{root}/raw", f"{root}/checkpoint", ORDER_FILES, master,
+                rejects_path=f"{root}/rejects",
+            ).awaitTermination()
+    return master, f"{root}/rejects"
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice <= 480000")
+def landed_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the deliveries leave in the master: the corrected prices, nothing over the limit."""
+    return _deliveries(spark, sf_dir)[0].read()
+
+
+@query(
+    """SELECT o_orderkey, 'max:o_totalprice' AS violations,
+       CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END::BIGINT AS n_deliveries
+    FROM orders WHERE o_totalprice > 480000"""
+)
+def landed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that were set aside, and how many deliveries held them."""
+    rejects = spark.read.parquet(_deliveries(spark, sf_dir)[1])
+    return rejects.groupBy(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.concat_ws(" ", "violations").alias("violations")).agg(
+        F.countDistinct("batch_id").alias("n_deliveries"))
 
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,11 +44,14 @@ def batch_id_of(files: DataFrame) -> str:
     return f"batch_{row['t']}_{row['h0']}{row['h1']}"
 
 
-def land_batch(files: DataFrame, raw_root: str, contract: Contract) -> Landed | None:
+def land_batch(
+    files: DataFrame, raw_root: str, contract: Contract, contents: Callable[[list[str]], DataFrame] | None = None
+) -> Landed | None:
     """Check the new files and store them as one raw batch; None if there is nothing.
 
-    ``files`` are ``binaryFile`` rows. Tabular files become a text table with
-    positions; of the images only digest and header are kept.
+    ``files`` are ``binaryFile`` rows, without ``content`` if ``contents`` gives
+    the rows of paths. Tabular files become a text table with positions; of the
+    images only digest and header are kept.
     """
     spark = files.sparkSession
     listed = classify(files, contract)
@@ -65,6 +68,8 @@ def land_batch(files: DataFrame, raw_root: str, contract: Contract) -> Landed |
     images_path = None
     if counts["image"]:
         images_path = f"{raw_root}/images/batch_id={batch_id}"
+        if contents is not None:
+            files = contents(sorted(r["path"] for r in listed.where(F.col("kind") == "image").select("path").collect()))
         images = classify(files, contract, keep=["content"]).where(F.col("kind") == "image")
         headers = image_headers(images, "content").select("file", "sha256", "bands", "height", "width")
         headers.write.mode("overwrite").parquet(images_path)
