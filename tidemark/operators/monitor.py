@@ -130,7 +130,7 @@ def sustained_alerts(
     series: Sequence[str],
     ts: str,
     condition: Column,
-    hold_seconds: int,
+    hold_seconds: int | Column,
     chunks: Chunks | None = None,
     step_seconds: int | None = None,
 ) -> DataFrame:
@@ -140,7 +140,8 @@ def sustained_alerts(
     is one alert: ``active_since``, ``firing_at`` (first evaluation at least the
     hold time later), ``last_true_at`` and the number of true evaluations. With
     ``step_seconds``, the evaluation interval, a longer step between two rows is
-    a gap and ends the stretch, as an evaluation without a sample does.
+    a gap and ends the stretch, as an evaluation without a sample does. The hold
+    time may be a column of the series.
     Evaluations come from windows, so a series is as long as its time range; for
     longer ones pass ``find_chunks``.
     """

@@ -11,7 +11,7 @@ from tidemark.jobs.drops import ingest_drops
 from tidemark.operators import monitor
 from tidemark.plans import query, table
 from tidemark.plans.merging import _UPSERT, master_and_batch
-from tidemark.plans.monitoring import STRETCHES
+from tidemark.plans.monitoring import ALERTS_BY_RULE, EVENT_RULES, STRETCHES, event_signals
 from tidemark.session import scratch_path
 from tidemark.sources.folders import publish_parts, put_marker
 from tidemark.sources.master import MasterTable
@@ -111,6 +111,17 @@ def _drain(spark: SparkSession, writer: DataStreamWriter, label: str, schema) ->
     return spark.read.schema(schema).parquet(f"{root}/out")
 
 
+def _drain_stateful(spark: SparkSession, alerts: DataFrame, label: str) -> DataFrame:
+    """Drain with the state store that user-defined state needs."""
+    store = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(store)
+    spark.conf.set(store, stream.ROCKSDB)
+    try:
+        return _drain(spark, alerts.writeStream, label, alerts.schema)
+    finally:
+        spark.conf.set(store, before)
+
+
 def _wall_clock(name: str) -> F.Column:
     """Back to the wall-clock time the event time was cast from."""
     return F.col(name).cast("timestamp_ntz").alias(name)
@@ -142,11 +153,13 @@ def alert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         _event_stream(spark, sf_dir), ["event_type"], "ts", "1 hour", F.avg("value") > 20
     )
     alerts = stream.sustained_alert_stream(evaluations, ["event_type"], 7200, 3600)
-    store = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(store)
-    spark.conf.set(store, stream.ROCKSDB)
-    try:
-        out = _drain(spark, alerts.writeStream, "alerts", alerts.schema)
-    finally:
-        spark.conf.set(store, before)
+    out = _drain_stateful(spark, alerts, "alerts")
     return out.select("event_type", _wall_clock("active_since"), _wall_clock("firing_at"))
+
+
+@query(ALERTS_BY_RULE)
+def alerts_by_rule_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rules by a stateful stream: silence is noticed by timers on event time."""
+    alerts = stream.alerts_by_rule_stream(event_signals(_event_stream(spark, sf_dir)), EVENT_RULES, "event_type", 3600)
+    out = _drain_stateful(spark, alerts, "rule-alerts")
+    return out.select("rule", "severity", "event_type", _wall_clock("active_since"), _wall_clock("firing_at"))

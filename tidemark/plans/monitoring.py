@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.buckets import cumulative_counts, quantile_from_counts
 from tidemark.operators import monitor
+from tidemark.operators.alert_rules import AlertRule, alerts_by_rule as alerts_of_rules
 from tidemark.plans import query, table
+from tidemark.streaming.events import signal_windows
 
 BOUNDS = (1.0, 2.5, 5.0, 10.0, 25.0, 50.0, 75.0, 100.0)
 CONFIDENCE = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -176,3 +179,75 @@ def daily_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monitor.duration_histogram(_events(spark, sf_dir), "value", ["event_type"], BOUNDS)
+
+
+# The eight shipped rules with the limits of these tables: an event type is a job, an hour an evaluation.
+EVENT_RULES = (
+    AlertRule("GatewayApiDown", "click", "up", None, 7200, "critical"),
+    AlertRule("InferenceApiDown", "view", "up", None, 5400, "critical"),
+    AlertRule("NginxExporterDown", "signup", "up", None, 14400, "high"),
+    AlertRule("HighPredictionLatency", "view", "latency_p95", 80.0, 7200, "warning"),
+    AlertRule("AbnormalRequestRate", "view", "request_rate", 2.0 / 3600, 3600, "warning"),
+    AlertRule("PrometheusScrapeFailed", "error", "up", None, 3600, "critical"),
+    AlertRule("HighCpuUsage", "purchase", "cpu_busy", 0.6, 5400, "warning"),
+    AlertRule("HighMemoryUsage", "purchase", "memory_used", 0.5, 3600, "warning"),
+)
+
+
+def event_signals(events: DataFrame) -> DataFrame:
+    """The rules' signals per event type and hour; works on streams (a filter here would reach the rows before the watermark does)."""
+    counts = [c.alias(f"b{i}") for i, c in enumerate(cumulative_counts(F.col("value"), BOUNDS))]
+    seen = signal_windows(events, ["event_type"], "ts", "1 hour", [
+        *counts, F.count("*").alias("n"), F.count_if(F.col("value") > 100).alias("up"),
+        F.count_if(F.col("value") <= 20).alias("idle"), F.avg("value").alias("mean")])
+    share = quantile_from_counts(0.95, BOUNDS, F.array(*[F.col(f"b{i}") for i in range(len(BOUNDS))]), F.col("n"))
+    return seen.select(
+        "event_type", "evaluated_at", "closed_at", "up", share.alias("latency_p95"), (F.col("n") / 3600.0).alias("request_rate"),
+        (1 - F.col("idle") / F.col("n")).alias("cpu_busy"), (F.col("mean") / 100.0).alias("memory_used"))
+
+
+def _rules_sql() -> str:
+    rows = ", ".join(
+        f"('{r.name}', '{r.severity}', '{r.target}', '{r.signal}', {'NULL' if r.above is None else repr(r.above)}::DOUBLE, {r.hold_seconds})"
+        for r in EVENT_RULES)
+    return f"rules(rule, severity, event_type, signal, above, hold) AS (VALUES {rows})"
+
+
+ALERTS_BY_RULE = f"""WITH {_rules_sql()},
+h AS (SELECT event_type, {_start(60)} AS seen, {_bucket_sql('value', BOUNDS)}, count(*) AS n, count(*) FILTER (value > 100) AS up,
+        count(*) FILTER (value <= 20) AS idle, avg(value) AS mean FROM events WHERE event_type IS NOT NULL GROUP BY ALL),
+signals AS (SELECT event_type, seen, up, {_quantile_sql(0.95, BOUNDS, 'latency_p95')}, n / 3600.0::DOUBLE AS request_rate,
+        1 - idle / n::DOUBLE AS cpu_busy, mean / 100.0::DOUBLE AS memory_used FROM h),
+grid AS (SELECT event_type, unnest(generate_series(min(seen), (SELECT max(seen) FROM h), INTERVAL 1 HOUR)) AS seen FROM h GROUP BY 1),
+flags AS (
+  SELECT rule, severity, hold, g.event_type, g.seen, CASE
+      WHEN above IS NULL THEN coalesce(s.up, 0) = 0
+      WHEN signal = 'latency_p95' THEN s.latency_p95 > above WHEN signal = 'request_rate' THEN s.request_rate > above
+      WHEN signal = 'cpu_busy' THEN s.cpu_busy > above ELSE s.memory_used > above END AS is_on
+  FROM grid g JOIN rules USING (event_type) LEFT JOIN signals s ON s.event_type = g.event_type AND s.seen = g.seen),
+islands AS (SELECT *, seen - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY rule ORDER BY seen) AS island FROM flags WHERE is_on),
+stretches AS (SELECT *, min(seen) OVER (PARTITION BY rule, island) AS since FROM islands)
+SELECT rule, severity, event_type, since AS active_since,
+       min(seen) FILTER (epoch(seen) >= epoch(since) + hold) AS firing_at FROM stretches
+GROUP BY rule, severity, event_type, since HAVING max(epoch(seen)) >= epoch(min(since)) + max(hold)"""
+
+
+@query(ALERTS_BY_RULE)
+def alerts_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight rules over the event table: four targets that fall silent, four limits."""
+    found = alerts_of_rules(event_signals(_events(spark, sf_dir)), EVENT_RULES, "event_type", "evaluated_at", 3600)
+    return found.select("rule", "severity", "event_type", "active_since", "firing_at")
+
+
+@query(
+    f"""WITH r AS (SELECT {_start(360)} AS window_start, event_type, user_id % 4 AS cpu, count(*) FILTER (value <= 20) / 21600.0::DOUBLE AS rate
+    FROM events GROUP BY ALL)
+    SELECT window_start, event_type, round(1 - avg(rate), 8) AS busy FROM r GROUP BY ALL"""
+)
+def busy_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of busy time per instance and window: one less the mean idle rate of its processors."""
+    idle = _events(spark, sf_dir).groupBy(
+        F.window("ts", "6 hours").alias("w"), "event_type", (F.col("user_id") % 4).alias("cpu")).agg(
+        (F.count_if(F.col("value") <= 20) / 21600.0).alias("rate"))
+    found = monitor.busy_share(idle.select(F.col("w.start").alias("window_start"), "event_type", "rate"), "event_type")
+    return found.withColumn("busy", F.round("busy", 8))

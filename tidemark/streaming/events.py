@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import TimerValues
 
 from tidemark.functions.missing import col
+from tidemark.operators.alert_rules import RULE_COLUMNS, AlertRule, rule_flags
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -111,6 +112,127 @@ def sustained_alert_stream(
     )
 
 
+def signal_windows(events: DataFrame, series: Sequence[str], ts: str, step: str, signals: Sequence[Column]) -> DataFrame:
+    """One row ``(series..., evaluated_at, signals...)`` per series and window; on a stream, once it is closed.
+
+    Signals are named aggregate expressions. On a stream the rows keep their
+    event time (``closed_at``), so that what follows can set timers by it.
+    """
+    grouped = events.groupBy(F.window(col(ts), step).alias("w"), *[col(s) for s in series]).agg(*signals)
+    names = [c for c in grouped.columns if c != "w" and c not in series]
+    return grouped.select(
+        *[col(s) for s in series], F.col("w.start").alias("evaluated_at"), F.window_time("w").alias("closed_at"), *names)
+
+
+class RuleAlertProcessor(StatefulProcessor):
+    """Alerts of one series and rule, whose key ends with ``hold_seconds`` and ``on_silence``.
+
+    A series with a silence rule keeps the time of its last good window and a
+    timer for the moment at which the window that would make the alert fire is
+    closed: silence sends no rows that could do it. Whatever comes first, the
+    timer or the next good window, sends the alert.
+    """
+
+    def __init__(self, names: Sequence[str], step_seconds: int) -> None:
+        self._names, self._step_seconds = list(names), step_seconds
+        self._step = pd.Timedelta(seconds=step_seconds)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        self._stretch = handle.getValueState("stretch", "since_ns bigint, last_ns bigint, fired boolean")
+
+    def _out(self, key: tuple, alerts: list[tuple[pd.Timestamp, pd.Timestamp]]) -> pd.DataFrame:
+        found = pd.DataFrame(alerts, columns=["active_since", "firing_at"])
+        for place, (name, value) in enumerate(zip(self._names, key)):
+            found.insert(place, name, value)
+        return found
+
+    def _fires(self, since: pd.Timestamp, hold: int) -> pd.Timestamp:
+        return since + -(-hold // self._step_seconds) * self._step
+
+    def _timer(self, good: pd.Timestamp, hold: int) -> int:
+        """When the firing window of a silence after ``good`` is closed, in milliseconds."""
+        return (self._fires(good + self._step, hold) + self._step).value // 1_000_000
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues
+    ) -> Iterator[pd.DataFrame]:
+        closed = pd.concat(list(rows)).sort_values("evaluated_at", ignore_index=True)
+        times, flags = list(closed["evaluated_at"]), closed["is_on"].astype(bool).tolist()
+        hold, on_silence = int(key[-2]), bool(key[-1])
+        answer = self._silent if on_silence else self._crossed
+        yield self._out(key, answer(times, flags, hold))
+
+    def _silent(self, times: list, bad: list[bool], hold: int) -> list[tuple]:
+        if self._stretch.exists():
+            _, last, fired = self._stretch.get()
+            good = pd.Timestamp(last)
+            self._handle.deleteTimer(self._timer(good, hold))
+        else:
+            good, fired = times[0] - self._step, False
+        alerts = []
+        for at in (t for t, b in zip(times, bad) if not b):
+            firing = self._fires(good + self._step, hold)
+            if not fired and firing <= at - self._step:
+                alerts.append((good + self._step, firing))
+            good, fired = at, False
+        self._stretch.update((good.value, good.value, fired))
+        if not fired:
+            self._handle.registerTimer(self._timer(good, hold))
+        return alerts
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        since, last, fired = self._stretch.get()
+        good, hold = pd.Timestamp(last), int(key[-2])
+        if not fired and expiredTimerInfo.getExpiryTimeInMs() == self._timer(good, hold):
+            self._stretch.update((since, last, True))
+            yield self._out(key, [(good + self._step, self._fires(good + self._step, hold))])
+
+    def _crossed(self, times: list, on: list[bool], hold: int) -> list[tuple]:
+        since = last = None
+        fired, alerts = False, []
+        if self._stretch.exists():
+            since, last, fired = self._stretch.get()
+            since, last = pd.Timestamp(since), pd.Timestamp(last)
+        for at, flag in zip(times, on):
+            if not flag:
+                since = None
+                continue
+            if since is None or at - last > self._step:
+                since, fired = at, False
+            last = at
+            if not fired and at - since >= pd.Timedelta(seconds=hold):
+                alerts.append((since, at))
+                fired = True
+        if since is None:
+            self._stretch.clear()
+        else:
+            self._stretch.update((since.value, last.value, fired))
+        return alerts
+
+    def close(self) -> None:
+        pass
+
+
+def alerts_by_rule_stream(
+    evaluations: DataFrame, rules: Sequence[AlertRule], target: str, step_seconds: int, series: Sequence[str] = ()
+) -> DataFrame:
+    """Emit ``(target, series..., rule, severity, active_since, firing_at)`` once per alert, when it starts firing.
+
+    ``evaluations`` comes from ``signal_windows`` on a stream in append mode.
+    State is a time and a flag per series and rule. Needs the RocksDB state store.
+    """
+    flags = rule_flags(evaluations, rules, target, [*series, "evaluated_at", "closed_at"])
+    names = [target, *series, *RULE_COLUMNS, "on_silence"]
+    types = {f.name: f.dataType for f in flags.schema.fields}
+    out = T.StructType(
+        [T.StructField(n, types[n]) for n in names]
+        + [T.StructField("active_since", T.TimestampType()), T.StructField("firing_at", T.TimestampType())])
+    alerts = flags.groupBy(*[col(n) for n in names]).transformWithStateInPandas(
+        RuleAlertProcessor(names, step_seconds), out, outputMode="Append", timeMode="EventTime")
+    return alerts.drop("hold_seconds", "on_silence")
+
+
 def end_marker(events: DataFrame, ts: str, after: str, path: str) -> DataFrame:
     """A stream of one row, null but for an event time ``after`` the last of a finished table.
 
