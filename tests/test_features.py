@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 import statistics
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.config import Feature, FeatureSchema
-from tidemark.functions.quantiles import exact_quantiles, grouped_quantile
+from tidemark.functions.quantiles import double_of, exact_quantiles, grouped_quantile, ordered_bits
 from tidemark.operators import features as feat
 from tidemark.operators.ordered import find_chunks, forward_fill, last_before
 
@@ -172,6 +173,31 @@ def test_exact_quantiles_of_little(spark):
     assert exact_quantiles(df, {"m": (F.col("x"), 0.5), "e": (F.col("e"), 0.5)}) == {"m": 3.5, "e": None}
 
 
+EDGES = [0.0, -0.0, 1.0, -1.0, 0.1, 5e-324, -5e-324, 2.0**-1022, 2.0**-1022 - 5e-324, 1.7976931348623157e308, -1.7976931348623157e308,
+         math.inf, -math.inf, 8.0, math.nextafter(8.0, 0), math.nextafter(8.0, 9), math.pi, 2.0**52 + 1, 1e-310, -1e300]
+
+
+def test_bits_order_like_doubles(spark):
+    rng = random.Random(4)
+    values = EDGES + [rng.choice((-1, 1)) * math.ldexp(rng.random(), rng.randrange(-1070, 1020)) for _ in range(3000)]
+    values += [math.ldexp(1, k) for k in range(-1074, 1024, 7)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, math.nan]], "x double")
+    found = df.select("x", ordered_bits(F.col("x")).alias("b")).select("x", "b", double_of(F.col("b")).alias("y")).collect()
+    assert [r.b for r in found[-2:]] == [None, None] and all(r.x == r.y for r in found[:-2])
+    want = [struct.unpack("<q", struct.pack("<d", v + 0.0))[0] for v in values]
+    assert [r.b if r.b >= 0 else (-1 - r.b) | -(1 << 63) for r in found[:-2]] == want
+    by_bits = [r.x for r in sorted(found[:-2], key=lambda r: r.b)]
+    assert by_bits == sorted(values)
+
+
+def test_quantiles_of_null_and_extreme_groups(spark):
+    data = [(None, v) for v in (3.0, 1.0, None, math.nan)] + [("a", math.inf), ("a", -math.inf), ("a", 2.0), ("none", None)]
+    df = spark.createDataFrame(data, "g string, x double")
+    got = {r["g"]: r["v"] for r in grouped_quantile(df, ["g"], "x", 0.5, "v").collect()}
+    assert got == {None: 2.0, "a": 2.0}
+    assert grouped_quantile(df.limit(0), ["g"], "x", 0.5, "v").isEmpty() and exact_quantiles(df.limit(0), {"m": (F.col("x"), 0.5)}) == {"m": None}
+
+
 @pytest.mark.parametrize("q", [0.0, 0.3, 0.5, 0.95, 1.0])
 def test_grouped_quantile(spark, q):
     rng = random.Random(1)
@@ -179,7 +205,7 @@ def test_grouped_quantile(spark, q):
     data += [(f"g{rng.randrange(200)}", float(rng.randrange(50))) for _ in range(3000)] + [("solo", 4.0)]
     pdf = pd.DataFrame(data, columns=["g", "x"])
     df = spark.createDataFrame(pdf)
-    got = {r["g"]: r["v"] for r in grouped_quantile(df, ["g"], "x", q, "v", accuracy=1000).collect()}
+    got = {r["g"]: r["v"] for r in grouped_quantile(df, ["g"], "x", q, "v", exact_limit=1000).collect()}
     want = pdf.groupby("g")["x"].quantile(q).to_dict()
     assert got.keys() == want.keys()
     assert all(math.isclose(got[g], want[g], rel_tol=1e-9, abs_tol=1e-12) for g in want)
