@@ -92,11 +92,39 @@ def test_unseen_binary_value_fails_or_is_null(spark):
     assert rows(model.transform(unseen, on_unseen="null")) == [(None,)]
 
 
-def test_too_many_categories_are_refused(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("x"))
-    schema = FeatureSchema((Feature("x", "categorical", encoding="onehot"),))
-    with pytest.raises(ValueError, match="more than 10"):
-        feat.fit(df, schema, max_categories=10)
+def test_stored_dictionaries_code_like_small_ones(spark, folder):
+    values = ["pear", "apple", None, "fig", "pear", "kiwi", "apple", "apple", "é", "Zebra"]
+    df = spark.createDataFrame([(i, v, v) for i, v in enumerate(values)], "i int, x string, y string")
+    schema = FeatureSchema((
+        Feature("x", "categorical", impute="constant", fill_value="banana", encoding="binary"),
+        Feature("y", "categorical", impute="most_frequent", encoding="onehot")))
+    small, large = feat.fit(df, schema), feat.fit(df, schema, max_categories=3, dictionary_path=folder + "/dictionary")
+    assert not small.dictionaries and {k: v.size for k, v in large.dictionaries.items()} == {"x": 7, "y": 6} and not large.categories
+    large = feat.FeatureModel.from_json(large.to_json())
+    got = {r["i"]: (r["x"], r["y"].toArray().tolist()) for r in large.transform(df, keep=["i"]).collect()}
+    want = {r["i"]: (r["x"], [r[c] for c in small.output_columns[1:]]) for r in small.transform(df, keep=["i"]).collect()}
+    assert got == want and large.output_columns == ["x", "y"]
+    other = spark.createDataFrame([(1, "new", "new"), (2, None, None)], "i int, x string, y string")
+    unseen = {r["i"]: (r["x"], r["y"].toArray().sum()) for r in large.transform(other, keep=["i"], on_unseen="null").collect()}
+    assert unseen == {1: (None, 0.0), 2: (2.0, 1.0)}
+    with pytest.raises(Exception, match="unknown value new"):
+        large.transform(other, keep=["i"]).collect()
+
+
+def test_twenty_thousand_categories(spark, folder):
+    df = spark.range(60_000).select(
+        F.col("id").alias("i"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 20_000)).alias("x"),
+        (F.col("id") % 7).cast("double").alias("n"))
+    schema = FeatureSchema((Feature("x", "categorical", encoding="onehot"), Feature("n", "numeric", scaler="minmax")))
+    model = feat.fit(df, schema, dictionary_path=folder + "/dictionary")
+    names = sorted({"hot", *(f"v{k % 20_000}" for k in range(60_000) if k % 3)})
+    assert model.dictionaries["x"].size == len(names) > 10_000
+    matrix = model.transform(df, keep=["i"])
+    rows_ = matrix.where("i in (0, 1, 2, 59999)").collect()
+    code = {n: k for k, n in enumerate(names)}
+    assert {r["i"]: (r["x"].size, r["x"].indices.tolist()) for r in rows_} == {
+        i: (len(names), [code["hot" if i % 3 == 0 else f"v{i % 20_000}"]]) for i in (0, 1, 2, 59_999)}
+    assert matrix.count() == 60_000
 
 
 def test_model_round_trips_as_json(spark):

@@ -21,9 +21,11 @@ from tidemark.config import Feature, FeatureSchema
 from tidemark.functions.joins import measured
 from tidemark.functions.missing import col, present
 from tidemark.functions.quantiles import exact_quantiles
+from tidemark.operators.dictionaries import Dictionary, dense_codes, onehot_encoder, with_codes
+from tidemark.session import scratch_path
 
-# More categories than this in one encoded feature is refused, never truncated:
-# each category is a matrix column or a dictionary entry.
+# Up to so many categories of a feature are part of the model and, one-hot, a
+# column each; more are a stored table and, one-hot, one sparse vector column.
 MAX_CATEGORIES = 10_000
 
 # Library defaults of a constant imputer without a fill value.
@@ -68,12 +70,13 @@ class FeatureModel:
     fills: Mapping[str, Any] = field(default_factory=dict)
     scales: Mapping[str, tuple[float, float]] = field(default_factory=dict)  # shift, divisor
     categories: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    dictionaries: Mapping[str, Dictionary] = field(default_factory=dict)
 
     @property
     def output_columns(self) -> list[str]:
         out: list[str] = []
         for f in self.schema.features:
-            if f.encoding == "onehot":
+            if f.encoding == "onehot" and f.name not in self.dictionaries:
                 out += [f"{f.name}_{c}" for c in self.categories[f.name]]
             else:
                 out.append(f.name)
@@ -85,17 +88,28 @@ class FeatureModel:
         """The feature matrix in schema order, after the ``keep`` columns.
 
         Unseen binary or ordinal values fail the job, or become null with
-        ``on_unseen="null"``; an unseen one-hot value is all zeros.
+        ``on_unseen="null"``; an unseen one-hot value is all zeros. Features with
+        a stored dictionary are joined with it, all others need no shuffle.
         """
         if on_unseen not in ("error", "null"):
             raise ValueError(f"unsupported on_unseen {on_unseen!r}")
         taken = set(keep) & set(self.output_columns)
         if taken:
             raise ValueError(f"kept columns clash with features: {sorted(taken)}")
+        large = [f for f in self.schema.features if f.name in self.dictionaries]
+        if large:
+            df = df.withColumns({f"__text_{f.name}": _filled_text(df, f, self.fills) for f in large})
+            df = with_codes(df, [(f.name, f"__text_{f.name}", self.dictionaries[f.name]) for f in large])
         columns = [col(c) for c in keep]
         for f in self.schema.features:
-            columns += self._feature(df, f, on_unseen)
-        return df.select(*columns)
+            columns += self._coded(f, on_unseen) if f in large else self._feature(df, f, on_unseen)
+        matrix = df.select(*columns)
+        vectors = {f.name: (f"__vector_{f.name}", self.dictionaries[f.name].size) for f in large if f.encoding == "onehot"}
+        if not vectors:
+            return matrix
+        wide = onehot_encoder(df.sparkSession, vectors).transform(matrix)
+        return wide.select(*[
+            col(vectors[c][0]).alias(c) if c in vectors else col(c) for c in matrix.columns])
 
     def impute(self, df: DataFrame) -> DataFrame:
         """The frame with fills and clips applied in place, nothing encoded or scaled."""
@@ -106,6 +120,13 @@ class FeatureModel:
             }
         )
 
+    def _coded(self, f: Feature, on_unseen: str) -> list[Column]:
+        """The code of a feature with a stored dictionary; one-hot, the size stands for none of its values."""
+        value, code = col(f"__text_{f.name}"), col(f"__code_{f.name}")
+        if f.encoding == "onehot":
+            return [F.coalesce(code, F.lit(self.dictionaries[f.name].size)).cast("double").alias(f.name)]
+        return [_known(f, value, code, on_unseen)]
+
     def _feature(self, df: DataFrame, f: Feature, on_unseen: str) -> list[Column]:
         if f.type == "numeric":
             value = _filled_number(df, f, self.fills)
@@ -122,10 +143,7 @@ class FeatureModel:
             ]
         codes = F.create_map(*[x for i, c in enumerate(known) for x in (F.lit(c), F.lit(float(i)))])
         code = F.try_element_at(codes, value)
-        if on_unseen == "error":
-            complaint = F.concat(F.lit(f"feature {f.name}: unknown value "), value)
-            code = F.when(value.isNotNull() & code.isNull(), F.raise_error(complaint)).otherwise(code)
-        return [code.cast("double").alias(f.name)]
+        return [_known(f, value, code, on_unseen)]
 
     def to_json(self) -> str:
         features = [
@@ -139,6 +157,7 @@ class FeatureModel:
                 "fills": dict(self.fills),
                 "scales": {k: list(v) for k, v in self.scales.items()},
                 "categories": {k: list(v) for k, v in self.categories.items()},
+                "dictionaries": {k: vars(v) for k, v in self.dictionaries.items()},
             }
         )
 
@@ -156,9 +175,18 @@ class FeatureModel:
             doc["fills"],
             {k: (v[0], v[1]) for k, v in doc["scales"].items()},
             {k: tuple(v) for k, v in doc["categories"].items()},
+            {k: Dictionary(**v) for k, v in doc.get("dictionaries", {}).items()},
         )
 
 
+def _known(f: Feature, value: Column, code: Column, on_unseen: str) -> Column:
+    """The code as a number; a value without one is an error, or null."""
+    if on_unseen == "error":
+        complaint = F.concat(F.lit(f"feature {f.name}: unknown value "), value)
+        code = F.when(value.isNotNull() & code.isNull(), F.raise_error(complaint)).otherwise(code)
+    return code.cast("double").alias(f.name)
+
+
 def _filled_number(df: DataFrame, f: Feature, fills: Mapping[str, Any]) -> Column:
     value = present(df, f.name).cast("double")
     if fills.get(f.name) is not None:
@@ -176,10 +204,14 @@ def _filled_text(df: DataFrame, f: Feature, fills: Mapping[str, Any]) -> Column:
 
 
 def fit(
-    df: DataFrame, schema: FeatureSchema, max_categories: int = MAX_CATEGORIES
+    df: DataFrame, schema: FeatureSchema, max_categories: int = MAX_CATEGORIES, dictionary_path: str | None = None
 ) -> FeatureModel:
     """Learn fills, scales and categories from the training frame.
 
+    Features with more than ``max_categories`` values get a dictionary, a table
+    at ``dictionary_path`` (a new folder in the shared one if absent) that the
+    model needs as long as it is used.
+
     The feature columns are kept (memory, then disk) while the passes run, so a
     frame behind a join is computed once.
     """
@@ -191,13 +223,13 @@ def fit(
     if not kept:
         narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fills, categories = _learn_values(narrow, schema, max_categories)
+        fills, categories, dictionaries = _learn_values(narrow, schema, max_categories, dictionary_path)
         fills.update(_learn_centres(narrow, schema))
         scales = _learn_scales(narrow, schema, fills)
     finally:
         if not kept:
             narrow.unpersist()
-    return FeatureModel(schema, fills, scales, categories)
+    return FeatureModel(schema, fills, scales, categories, dictionaries)
 
 
 def _learn_centres(df: DataFrame, schema: FeatureSchema) -> dict[str, Any]:
@@ -215,8 +247,8 @@ def _learn_centres(df: DataFrame, schema: FeatureSchema) -> dict[str, Any]:
 
 
 def _learn_values(
-    df: DataFrame, schema: FeatureSchema, limit: int
-) -> tuple[dict[str, Any], dict[str, tuple[str, ...]]]:
+    df: DataFrame, schema: FeatureSchema, limit: int, dictionary_path: str | None
+) -> tuple[dict[str, Any], dict[str, tuple[str, ...]], dict[str, Dictionary]]:
     """Constant and most frequent fills, and the categories of the encoders.
 
     One count of distinct values serves all features.
@@ -234,28 +266,58 @@ def _learn_values(
     listed = [f for f in schema.features if f.type == "categorical" and f.name not in categories]
     modes = [f for f in schema.features if f.impute == "most_frequent"]
     counted = list(dict.fromkeys(f.name for f in [*listed, *modes]))
+    large: dict[str, Dictionary] = {}
     if not counted:
-        return fills, categories
+        return fills, categories, large
     counts = value_counts(df, counted).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if modes:
             fills.update(most_frequent(counts, modes))
+        rows: list = []
         if listed:
-            # One value more than allowed is enough to refuse.
+            # Only the values of features with few of them come to the driver.
             wanted = counts.where(F.col("feature").isin(*[f.name for f in listed]))
-            rows = wanted.select("feature", "value").limit((limit + 1) * len(listed) + 1).collect()
+            sizes = {r["feature"]: r["n"] for r in wanted.groupBy("feature").agg(F.count("value").alias("n")).collect()}
+            many = [f for f in listed if sizes.get(f.name, 0) + 1 > limit and _n_values(f, sizes, fills, counts) > limit]
+            few = [f for f in listed if f not in many]
+            rows = wanted.where(F.col("feature").isin(*[f.name for f in few])).select("feature", "value").collect() if few else []
+            if many:
+                path = dictionary_path or scratch_path(df.sparkSession, "dictionaries")
+                fillers = [(f.name, str(fills[f.name])) for f in many if _fill_needed(f, fills, counts)]
+                values = wanted.where(F.col("feature").isin(*[f.name for f in many])).select("feature", "value")
+                if fillers:
+                    values = values.unionByName(df.sparkSession.createDataFrame(fillers, "feature string, value string"))
+                stored = dense_codes(values, path)
+                for r in stored.groupBy("feature").agg(F.count("*").alias("n")).collect():
+                    large[r["feature"]] = Dictionary(path, r["n"])
     finally:
         counts.unpersist()
     for f in listed:
+        if f.name in large:
+            continue
         found = {r["value"] for r in rows if r["feature"] == f.name}
         if None in found:
             found.remove(None)
             if fills.get(f.name) is not None:
                 found.add(str(fills[f.name]))
-        if len(found) > limit or len(rows) > (limit + 1) * len(listed):
-            raise ValueError(f"more than {limit} categories in an encoded feature near {f.name!r}")
         categories[f.name] = tuple(sorted(found))
-    return fills, categories
+    return fills, categories, large
+
+
+def _fill_needed(f: Feature, fills: Mapping[str, Any], counts: DataFrame) -> bool:
+    """Whether the feature has missing cells that a fill turns into a value."""
+    if fills.get(f.name) is None:
+        return False
+    return not counts.where((F.col("feature") == f.name) & F.col("value").isNull()).isEmpty()
+
+
+def _n_values(f: Feature, sizes: Mapping[str, int], fills: Mapping[str, Any], counts: DataFrame) -> int:
+    """Number of categories, a fill that is no value of its own included."""
+    n = sizes.get(f.name, 0)
+    if not _fill_needed(f, fills, counts):
+        return n
+    own = counts.where((F.col("feature") == f.name) & (F.col("value") == str(fills[f.name])))
+    return n + own.isEmpty()
 
 
 def most_frequent(counts: DataFrame, features: Sequence[Feature]) -> dict[str, Any]:
