@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -120,6 +121,12 @@ def test_write_once(spark, folder):
     with pytest.raises(FileNotFoundError):
         load_table(spark, folder + "/nothing")
     assert load_table(spark, path).count() == 3
+    # A write that died half way: files, but no marker.
+    half = Path(folder, "half")
+    frame(spark, MASTER).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    stored, created = write_once(frame(spark, BATCH), str(half))
+    assert created and rows(stored) == rows(frame(spark, BATCH))
 
 
 def test_nan_keys_equal_null_keys(spark):
@@ -130,3 +137,20 @@ def test_nan_keys_equal_null_keys(spark):
     got = merge.upsert(master, batch, ["k"], "last", ["v"])
     assert sorted(r["v"] for r in got.collect()) == [1, 2, 3]
     assert sorted(r["v"] for r in merge.upsert(master, batch, ["k"], "none").collect()) == [1, 2]
+
+
+def test_null_and_nan_keys_are_one_key_everywhere(spark, folder):
+    kind = "k double, v int"
+    master = spark.createDataFrame([(float("nan"), 1), (1.0, 1)], kind)
+    batch = spark.createDataFrame([(None, 2), (2.0, 2)], kind)
+    want = [("null", 2), (1.0, 1), (2.0, 2)]
+
+    def content(df):
+        return sorted([("null" if k is None or k != k else k, v) for k, v in df.collect()], key=repr)
+
+    assert content(merge.upsert(master, batch, ["k"], "last", ["v"])) == sorted(want, key=repr)
+    assert tuple(merge.upsert_metrics(master, batch, ["k"]).first()) == (2, 2, 1, 3)
+    stored = MasterTable(spark, folder + "/master", ["k"], "last", n_buckets=32)
+    stored.upsert(master, "first", ["v"])
+    commit = stored.upsert(batch, "second", ["v"])
+    assert content(stored.read()) == sorted(want, key=repr) and (commit.rows_added, commit.rows_total) == (1, 3)

@@ -63,6 +63,10 @@ def test_last_rows(spark, runs):
     frame = spark.range(1)
     for config, want in ((RunConfig(1, 2, 1), 5), (RunConfig(1, 1, 1), 0), (RunConfig(9, 9, 9), 0)):
         assert frame.select(ops.last_rows_for(runs, config).alias("n")).first()["n"] == want
+    # Runs of another experiment do not count, however new.
+    mixed = runs.withColumn("experiment_id", F.when(F.col("run_id") == "d", "other").otherwise("mine"))
+    assert rows(ops.last_rows_per_config(mixed, experiment_id="mine")) == [(1, 1, 1, "c", 0), (2, 2, 1, "f", 9)]
+    assert frame.select(ops.last_rows_for(mixed, RunConfig(1, 2, 1), experiment_id="mine").alias("n")).first()["n"] == 0
 
 
 @pytest.mark.parametrize(

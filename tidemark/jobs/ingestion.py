@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import Contract
 from tidemark.functions.missing import col
 from tidemark.operators import contract as check
-from tidemark.operators.linked import LinkedFileError, link_images, null_dangling
+from tidemark.operators.linked import LinkedFileError, link_images
 from tidemark.sources.master import Commit, MasterTable
 from tidemark.sources.tabular import POSITION, cast_to_contract
 
@@ -124,8 +124,3 @@ def _link(df: DataFrame, images: DataFrame | None, contract: Contract) -> tuple[
     if not mentioned.isEmpty():
         raise LinkedFileError("the batch names image files but has none")
     return df.withColumns({e.path_column: F.lit(None).cast("string") for e in external.values()}), 0
-
-
-def without_dangling(df: DataFrame, images: DataFrame, contract: Contract) -> DataFrame:
-    """A batch whose unresolved image references are null."""
-    return null_dangling(df, images, [c for c in contract.external_columns() if c in df.columns])

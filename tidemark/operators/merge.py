@@ -107,11 +107,13 @@ def _without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
 def upsert_metrics(master: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row: rows before, rows in the batch, rows added, rows after (keep first/last).
 
-    One shuffle of partially counted keys covers all four numbers.
+    One shuffle of partially counted keys covers all four numbers. Null and NaN
+    keys are one key, as in ``upsert``.
     """
-    tagged = master.select(*[col(k) for k in key], F.lit(1).alias("m"), F.lit(0).alias("b")).unionByName(
-        batch.select(*[col(k) for k in key], F.lit(0).alias("m"), F.lit(1).alias("b"))
-    )
+    def keyed(df: DataFrame, m: int, b: int) -> DataFrame:
+        return df.select(*[present(df, k).alias(k) for k in key], F.lit(m).alias("m"), F.lit(b).alias("b"))
+
+    tagged = keyed(master, 1, 0).unionByName(keyed(batch, 0, 1))
     per_key = tagged.groupBy(*[col(k) for k in key]).agg(F.sum("m").alias("m"), F.sum("b").alias("b"))
     total = per_key.agg(
         F.coalesce(F.sum("m"), F.lit(0)).alias("rows_before"),

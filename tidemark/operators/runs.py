@@ -80,10 +80,6 @@ def run_config(runs: DataFrame) -> DataFrame:
     return runs.select("run_id", *columns)
 
 
-def run_metric(runs: DataFrame, name: str) -> DataFrame:
-    return runs.select("run_id", lookup("metrics", name).alias("value"))
-
-
 # --- promotion -------------------------------------------------------------
 
 
@@ -121,8 +117,12 @@ def next_version(versions: DataFrame, name: str) -> int:
 # --- retrain policy --------------------------------------------------------
 
 
-def last_rows_per_config(runs: DataFrame, metric_name: str = "master_rows") -> DataFrame:
-    """Newest run of each configuration and the master rows it was trained on (0 if unlogged)."""
+def last_rows_per_config(
+    runs: DataFrame, metric_name: str = "master_rows", experiment_id: str | None = None
+) -> DataFrame:
+    """Newest run of each configuration, of one experiment if named, and the master rows it was trained on (0 if unlogged)."""
+    if experiment_id is not None:
+        runs = runs.where(F.col("experiment_id") == experiment_id)
     typed = runs.select(
         *[lookup("params", k).cast("int").alias(k) for k in CONFIG_KEYS],
         F.struct("start_time", "run_id").alias("at"),
@@ -136,9 +136,11 @@ def last_rows_per_config(runs: DataFrame, metric_name: str = "master_rows") -> D
     )
 
 
-def last_rows_for(runs: DataFrame, config: RunConfig, metric_name: str = "master_rows") -> Column:
-    """Scalar: master rows of the newest run with this configuration, 0 without one."""
-    same = runs
+def last_rows_for(
+    runs: DataFrame, config: RunConfig, metric_name: str = "master_rows", experiment_id: str | None = None
+) -> Column:
+    """Scalar: master rows of the newest run with this configuration, of one experiment if named, 0 without one."""
+    same = runs if experiment_id is None else runs.where(F.col("experiment_id") == experiment_id)
     for key in CONFIG_KEYS:
         same = same.where(lookup("params", key) == F.lit(str(getattr(config, key))))
     newest = same.agg(

@@ -48,9 +48,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def ensure_checkpointing(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the shared folder if nobody did so yet."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))

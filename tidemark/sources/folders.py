@@ -43,6 +43,11 @@ def ready_markers(spark: SparkSession, incoming: str) -> list[Marker]:
     return sorted(found, key=lambda m: (m.modified, m.folder))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, found = _open(spark, path)
+    return system.exists(found)
+
+
 def put_marker(spark: SparkSession, folder: str) -> None:
     """Close a drop: its files are complete."""
     system, path = _open(spark, f"{folder}/{READY}")

@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.missing import col
+from tidemark.functions.missing import col, present
 from tidemark.operators.merge import drop_duplicates, upsert
+from tidemark.sources.folders import exists
 
 COMMIT_SCHEMA = (
     "version bigint, batch_id string, rows_batch bigint, rows_added bigint, rows_total bigint, "
@@ -109,8 +110,9 @@ class MasterTable:
         ]
         return self._spark.read.option("basePath", self._data).parquet(*paths).drop("version")
 
-    def _bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*[col(k) for k in self._key]), F.lit(self._n)).cast("int")
+    def _bucket(self, df: DataFrame) -> Column:
+        """Null and NaN keys are one key, so they share a bucket."""
+        return F.pmod(F.xxhash64(*[present(df, k) for k in self._key]), F.lit(self._n)).cast("int")
 
     # --- writing ---
 
@@ -127,7 +129,7 @@ class MasterTable:
         if head is not None and self.has_batch(batch_id):
             return head
         version = 1 if head is None else head.version + 1
-        batch = batch.withColumn("bucket", self._bucket())
+        batch = batch.withColumn("bucket", self._bucket(batch))
         # At most one row per bucket comes back.
         counts = batch.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()
         touched = {r["bucket"]: r["n"] for r in counts}
@@ -180,10 +182,11 @@ class MasterTable:
 def write_once(df: DataFrame, path: str) -> tuple[DataFrame, bool]:
     """Write a table unless it is there already; return the stored one and whether it is new.
 
-    Leftovers of a write that died before finishing any file are replaced.
+    A folder without the marker of a finished write is what a dead job left; it
+    is replaced.
     """
     spark = df.sparkSession
-    stored = _find(spark, path)
+    stored = _find(spark, path) if exists(spark, f"{path}/_SUCCESS") else None
     if stored is not None:
         return stored, False
     if df.isEmpty():
