@@ -260,13 +260,16 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_words(words: DataFrame, block_words: int = BLOCK_WORDS, sample: int = SAMPLE) -> DataFrame:
     """``(word, n, near, near_n)``, both ways, of distinct words ``(word, n)`` exactly one edit apart.
 
-    The dealing trees are fitted on at most ``sample`` words, the first by hash;
-    this decides where words are compared, not which. A leaf with more words
+    The dealing trees are fitted on about ``sample`` words, a share by hash and
+    never more than twice as many; this decides where words are compared, not which. A leaf with more words
     than a block holds, such as one of anagrams, is cut by hash and asked in
     each part.
     """
     total = words.count()
-    fitted = words.where(F.length("word") <= BLOCK_BYTES // block_words).orderBy(F.xxhash64("word"), "word").limit(sample).select("word")
+    # Tasks send only what is taken: an ordered limit would send as many words from each of them.
+    share = int(min(1.0, sample / max(1, total)) * (1 << 30))
+    taken = (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < share) & (F.length("word") <= BLOCK_BYTES // block_words)
+    fitted = words.where(taken).limit(2 * sample).select("word")
     dealer = Dealer([r.word for r in fitted.collect()], total, block_words)
     sizes = words.select("word", "n").mapInArrow(_leaf_sizes(dealer), "letters int, leaf int, many long")
     sizes = sizes.groupBy("letters", "leaf").agg(F.sum("many").alias("many"))
