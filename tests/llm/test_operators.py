@@ -111,6 +111,19 @@ def test_jaccard_components(docs):
     assert by[6] == by[7] == 6 and (None, 1, 3) in got
 
 
+def test_jaccard_links_through_documents_without_an_id(spark):
+    words = [f"w{k}" for k in range(200)]
+    a, b, c = " ".join(words), " ".join(words[:-3]), " ".join(words[6:-3])
+    x = " ".join(f"x{k}" for k in range(150))
+    rows = [(1, a), (None, b), (2, c), (50, x), (None, x + " more"), (None, "alone here")]
+    found = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), percent=90).collect()
+    # The outer two are linked only through the one between them.
+    shingles = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for t in (a, b, c)]
+    share = lambda p, q: len(p & q) / len(p | q)
+    assert share(*shingles[:2]) >= 0.9 and share(*shingles[1:]) >= 0.9
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (0, 1), (0, 50), (1, 1), (2, 1), (50, 50)]
+
+
 def test_backoff_scores(docs):
     found = {r.doc_id: r for r in language.backoff_scores(docs).collect()}
     assert found[0].n_words == 0 and found[0].mean_log_score is None and found[6].mean_log_score > found[16].mean_log_score

@@ -198,8 +198,9 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         each.join(shared, "short").where(F.col("hits") >= F.floor(F.col("rule") / CLASSES) * F.col("copies"))
         .select("set", "doc_id").distinct(), "jaccard-near")
     near = firsts.select("set")
-    wanted = firsts.select("doc_id").distinct()
-    grams = plain.join(measured(wanted), "doc_id", "left_semi").select("text").mapInArrow(
+    # A set may have no owner with an id: null counts as one.
+    wanted = firsts.select(F.col("doc_id").alias("wanted_id")).distinct()
+    grams = plain.join(measured(wanted), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi").select("text").mapInArrow(
         _grams(size), "set binary, n long, grams array<bigint>, bits array<bigint>")
     sets = saved(
         grams.join(near, "set", "left_semi").dropDuplicates(["set"])
