@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import textwrap
+import time
 import zlib
 
 import pytest
@@ -243,3 +244,17 @@ def test_quality_learns_from_all_documents_without_label(spark, monkeypatch):
 ])
 def test_empty_tables(docs, operator):
     assert operator(docs.limit(0)).isEmpty()
+
+
+@pytest.mark.parametrize("line", [
+    "Copyright 2010 Some Name of Somewhere", "Neither the name of X", "see the license file", "Neither the name of X nor the names of its",
+])
+def test_open_parts_cost_in_proportion_to_the_text(line):
+    text = (line + "\n") * (1_000_000 // (len(line) + 1))
+    started = time.process_time()
+    assert licenses.known_sentences(text) == []
+    assert time.process_time() - started < 5
+    ends = {"Copy": "All rights reserved.", "Neit": "nor the names of its contributors may be used to endorse or promote products derived "
+            "from this software without specific prior written permission.", "see ": "for details"}
+    # The last open start takes the tail; those before run over it and know no other sentence.
+    assert len(licenses.known_sentences(text + ends[line[:4]])) == 1

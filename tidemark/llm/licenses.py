@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -84,20 +86,73 @@ _CC = {"attribution": "BY", "noncommercial": "NC", "sharealike": "SA", "noderiva
 # A normalised text is one string. Between words stands a blank, or what the place is: a wrap or the end of a sentence, the end of
 # a paragraph, the begin of a known sentence.
 _UNIT, _PARAGRAPH, _KNOWN = b"\n", b"\f", b"\r"
+_GAP, _END = r"[ \n\f\r]", r"(?=[\n\f\r]|\Z)"
 
 
-def _over_lines(pattern: str) -> bytes:
-    """The pattern for a sentence wrapped anywhere: it ends where a line or sentence ends.
+def _over_lines(pattern: str) -> str:
+    """The pattern for words wrapped anywhere; what it leaves open at its end stops with the line or sentence."""
+    return re.sub(r"(\[[^]]*\])|( \.\*)|( )", lambda m: m[1] or (r"[ \n\f][^\f\r]+?" if m[2] else _GAP), pattern)
 
-    What a pattern leaves open ends as early as it can, before the next known sentence and with its paragraph.
+
+@dataclass(frozen=True)
+class _Sentence:
+    """A sentence as one pattern, or as a head, an open part, and a tail.
+
+    The open part ends as early as it can, before the next known sentence and with its paragraph. Tails are looked up in a
+    list made once per text, so that no start searches its paragraph again.
     """
-    pattern = re.sub(r"\(\?: \.\*\)\?(?=.)", r"(?: .*)??", pattern)
-    pattern = re.sub(r"(\[[^]]*\])|( \.\*)|( )", lambda m: m[1] or (r"[ \n\f][^\f\r]+?" if m[2] else r"[ \n\f\r]"), pattern)
-    return rf"(?:{pattern})(?=[\n\f\r]|\Z)".encode()
 
+    name: str
+    whole: re.Pattern | None
+    head: re.Pattern | None
+    tail: re.Pattern | None
+    # Whether the head alone, or the open part alone, may lack.
+    bare_tail: bool = False
+    bare_open: bool = False
+
+    @classmethod
+    def of(cls, name: str, pattern: str) -> _Sentence:
+        for form, bare_tail, bare_open in ((r"\(\?:(.*) \.\* \)\?(.+)", True, False), (r"(.+)\(\?: \.\*\)\? (.+)", False, True),
+                                           (r"(.+) \.\* (.+)", False, False)):
+            parts = re.fullmatch(form, pattern)
+            if parts:
+                head, tail = map(_over_lines, parts.groups())
+                return cls(name, None, re.compile(head.encode()), re.compile(rf"(?:{tail}){_END}".encode()), bare_tail, bare_open)
+        return cls(name, re.compile(rf"(?:{_over_lines(pattern)}){_END}".encode()), None, None)
+
+
+class _Edges:
+    """Where paragraphs end and known sentences begin; the latter are found from the last to the first."""
+
+    def __init__(self, laid: bytes) -> None:
+        self.paragraphs = [m.start() for m in re.finditer(_PARAGRAPH, laid)]
+        self.known: list[int] = []
+
+    def mark(self, at: int) -> None:
+        self.known.append(-at)
+
+    def next(self, at: int, size: int) -> int:
+        """The first edge at or after ``at``, else ``size``."""
+        k, j = bisect.bisect_left(self.paragraphs, at), bisect.bisect_right(self.known, -at)
+        return min(self.paragraphs[k] if k < len(self.paragraphs) else size, -self.known[j - 1] if j else size)
 
-_COMPILED = tuple((name, re.compile(_over_lines(pattern))) for name, pattern in SENTENCES)
-_ANY = re.compile(b"|".join(re.sub(rb"\(\?P<[a-z]+>", b"(?:", pattern.pattern) for _, pattern in _COMPILED))
+
+class _Tails:
+    """Starts and ends of one tail in a text, each after a gap or at the begin."""
+
+    def __init__(self, pattern: re.Pattern, laid: bytes) -> None:
+        found = [(m.start(), m.end()) for m in re.compile(rb"(?<![^ \n\f\r])" + pattern.pattern).finditer(laid)]
+        self.starts, self.ends = [a for a, _ in found], [b for _, b in found]
+
+    def end(self, least: int, most: int) -> int | None:
+        """The end of the first tail that starts between the two places."""
+        k = bisect.bisect_left(self.starts, least)
+        return self.ends[k] if k < len(self.starts) and self.starts[k] <= most else None
+
+
+_COMPILED = tuple(_Sentence.of(name, pattern) for name, pattern in SENTENCES)
+_ANY = re.compile(b"|".join(
+    re.sub(rb"\(\?P<[a-z]+>", b"(?:", p.pattern) for s in _COMPILED for p in (s.whole, s.head, s.tail if s.bare_tail else None) if p))
 _EDGE = re.compile(r"(?<=[.!?;:])\s+")
 _NOISE = re.compile(r"[^a-z0-9./+-]+")
 _COMMENT = re.compile(r"^[\s/*#;%>-]+|[\s*/]+$")
@@ -132,17 +187,35 @@ def known_sentences(text: str) -> list[tuple[str, dict[str, str]]]:
     From the last start to the first, so that the open part of a sentence never runs over another one.
     """
     laid, starts = _laid_out(text)
+    edges, tails = _Edges(laid), {}
     found: dict[int, tuple[int, str, dict[str, str]]] = {}
+
+    def end_of(sentence: _Sentence, at: int) -> int | None:
+        if sentence.name not in tails:
+            tails[sentence.name] = _Tails(sentence.tail, laid)
+        head = sentence.head.match(laid, at)
+        end = None
+        if head and laid[head.end() : head.end() + 1] in (b" ", _UNIT, _PARAGRAPH, _KNOWN):
+            gap = head.end()
+            if sentence.bare_open:
+                end = tails[sentence.name].end(gap + 1, gap + 1)
+            if end is None and laid[gap : gap + 1] != _KNOWN:
+                end = tails[sentence.name].end(gap + 3, edges.next(gap + 1, len(laid)) + 1)
+        return tails[sentence.name].end(at, at) if end is None and sentence.bare_tail else end
+
     for at in reversed(starts):
         if not _ANY.match(laid, at):
             continue
-        for name, pattern in _COMPILED:
-            match = pattern.match(laid, at)
-            if match:
-                held = {k: " ".join(bytes(v).decode().split()) for k, v in match.groupdict().items() if v}
-                found[at] = match.end(), name, held
+        for sentence in _COMPILED:
+            match = sentence.whole.match(laid, at) if sentence.whole else None
+            end = match.end() if match else None if sentence.whole else end_of(sentence, at)
+            if end is not None:
+                groups = match.groupdict() if match else {}
+                held = {k: " ".join(bytes(v).decode().split()) for k, v in groups.items() if v}
+                found[at] = end, sentence.name, held
                 if at:
                     laid[at - 1 : at] = _KNOWN
+                    edges.mark(at - 1)
                 break
     out, end = [], 0
     for at in starts:
