@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline as pipeline
+from tidemark.llm.common import ROW_MARK, numbered, with_row_key
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -43,3 +44,35 @@ def test_a_bad_row_takes_no_good_one_of_its_id_along(spark, folder):
     found = pipeline.good_documents(spark, spark.createDataFrame(rows, SCHEMA), folder).collect()
     assert len({r.row_key for r in found}) == len(found)
     assert sorted((r.doc_id or 0, r.text) for r in found) == sorted((r[0] or 0, r[1]) for r in rows if r[1] == good)
+
+
+def test_columns_of_any_name_come_out_as_they_are(spark, folder):
+    shared, again, item = words(1, 60), words(1, 60) + " more", words(5, 40)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    names = ["row_key", "row", "number", "again", "first_key", "first_row", "row_number", "gone_lines", "gone_id", "key", "own", "n"]
+    rows = [(1, shared), (2, again), (None, "only here\n" + words(6, 8)), (None, words(6, 8) + "\nnor here"), (3, item), (3, words(7, 50))]
+    docs = spark.createDataFrame([(*r, *[7] * len(names)) for r in rows], f"doc_id long, text string, {' int, '.join(names)} int")
+    want = {
+        pipeline.new_lines: {shared, again, "only here\n" + words(6, 8), "nor here", item, words(7, 50)},
+        pipeline.distinct_documents: {shared} | {t for _, t in rows[2:]},
+        pipeline.clean_documents: {t for _, t in rows if t != item},
+    }
+    # Numbers of rows whose ids are null follow no stated order: either of the two documents keeps the shared line.
+    other = want[pipeline.new_lines] - {"only here\n" + words(6, 8), "nor here"} | {"only here", words(6, 8) + "\nnor here"}
+    for stage, texts in want.items():
+        left = stage(spark, docs.repartition(3), folder)
+        assert left.columns == docs.columns
+        found = left.collect()
+        assert {r.text for r in found} in ((texts, other) if stage is pipeline.new_lines else (texts,))
+        assert all(r[name] == 7 for r in found for name in names)
+
+
+def test_a_row_key_of_an_earlier_stage_is_used_and_a_column_of_its_name_stays(spark, folder):
+    docs = with_row_key(spark.createDataFrame([(1, "a", 5), (1, "b", 5), (None, "c", 5)], "doc_id long, text string, row_key int"))
+    assert docs.columns == ["doc_id", "text", "row_key", "row_key_"]
+    docs.write.parquet(f"{folder}/stage")
+    again = spark.read.parquet(f"{folder}/stage")
+    left = pipeline.new_lines(spark, again, folder)
+    assert left.columns == again.columns and left.schema["row_key_"].metadata == {ROW_MARK: True}
+    assert sorted((r.text, r.row_key) for r in left.collect()) == [("a", 5), ("b", 5), ("c", 5)]
+    assert numbered(again).select("number").distinct().count() == 3

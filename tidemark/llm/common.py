@@ -29,28 +29,42 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-# The column that tells rows apart in tables that one stage writes and the next one reads.
-ROW = "row_key"
-NUMBER = "row_number"
+# What marks a column, in its metadata, as one that tells the rows of a written table apart.
+ROW_MARK = "tidemark.row"
+
+
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The rows with a number each in a column of a name that no other has, marked; to be written before it is read twice."""
+    taken = {c.lower() for c in docs.columns}
+    name = "row_key"
+    while name in taken:
+        name += "_"
+    return docs.withColumn(name, F.monotonically_increasing_id().alias(name, metadata={ROW_MARK: True}))
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a ``NUMBER`` each, none twice: ``doc_id``, or a larger number where that is null or an earlier row's.
+    """``(number, row)``: each row as a struct, so that no name of its columns matters, with a number that none has twice.
 
-    Numbers derive from ``ROW``; a table without it is written first.
+    The number is ``doc_id``, or a larger one where that is null or an earlier row's. Numbers derive from the marked column of a
+    written table (``with_row_key``); a table without one is written first. Unmarked columns of any name are plain data.
     """
-    if ROW not in docs.columns:
-        docs = saved(docs.withColumn(ROW, F.monotonically_increasing_id()), "rows")
-    own = F.col("doc_id").cast("long")
-    top, last = docs.agg(F.max(own), F.max(ROW)).first()
+    plain = docs.columns
+    marked = [f.name for f in docs.schema.fields if f.metadata.get(ROW_MARK)]
+    if not marked:
+        docs = saved(with_row_key(docs), "rows")
+        marked = [docs.columns[-1]]
+    rows = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in plain]).alias("row"), docs[f"`{marked[0]}`"].alias("key"),
+        docs["doc_id"].cast("long").alias("own"))
+    top, last = rows.agg(F.max("own"), F.max("key")).first()
     base = max(0, (top if top is not None else -1) + 1)
     if base + (last or 0) >= (1 << 63) - 1:
         raise ValueError(f"doc_id {top} leaves no numbers for rows without an id of their own")
-    again = docs.where("doc_id is not null").groupBy(own.alias("again")).agg(
-        F.min(ROW).alias("first_row"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = docs.join(measured(again), own == F.col("again"), "left")
-    keeps = own.isNotNull() & (F.col("first_row").isNull() | (F.col("first_row") == F.col(ROW)))
-    return joined.select(*docs.columns, F.when(keeps, own).otherwise(F.lit(base) + F.col(ROW)).alias(NUMBER))
+    again = rows.where("own is not null").groupBy(F.col("own").alias("again")).agg(
+        F.min("key").alias("first_key"), F.count("*").alias("n")).where("n > 1").drop("n")
+    joined = rows.join(measured(again), F.col("own") == F.col("again"), "left")
+    keeps = F.col("own").isNotNull() & (F.col("first_key").isNull() | (F.col("first_key") == F.col("key")))
+    return joined.select(F.when(keeps, F.col("own")).otherwise(F.lit(base) + F.col("key")).alias("number"), "row")
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.joins import measured
-from tidemark.llm.common import NUMBER, numbered, saved, texts
+from tidemark.llm.common import numbered, saved, texts
 from tidemark.llm.components import components
 
 EDITS = 2
@@ -178,16 +178,17 @@ def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MI
     """The documents, all columns, without the lines that are not kept.
 
     Documents of which no line is left go; empty and null texts stay as they are.
-    Rows with a null or repeated id are documents of their own, after all others.
+    Rows with a null or repeated id are documents of their own, after all others. Extra columns, whatever
+    their names, come out as they are.
     """
     rows = numbered(docs)
-    gone = line_classes(rows.select(F.col(NUMBER).alias("doc_id"), "text"), edits, min_chars).where("not kept").groupBy("doc_id").agg(
-        F.collect_set(F.col("line_no").cast("int")).alias("gone_lines"))
-    gone = gone.select(F.col("doc_id").alias("gone_id"), "gone_lines")
-    lines = F.split("text", "\n", -1)
+    gone = line_classes(rows.select(F.col("number").alias("doc_id"), "row.text"), edits, min_chars).where("not kept").groupBy(
+        F.col("doc_id").alias("gone_id")).agg(F.collect_set(F.col("line_no").cast("int")).alias("gone_lines"))
+    lines = F.split("row.text", "\n", -1)
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone_lines")
     left = F.array_join(F.transform(keep, lambda k: lines[k]), "\n")
-    joined = rows.join(gone, rows[NUMBER] == gone["gone_id"], "left")
-    return joined.where("gone_lines is null or size(split(text, '\n', -1)) > size(gone_lines)").select(*[
-        F.when(F.col("gone_lines").isNull(), rows[c]).otherwise(left).alias(c) if c == "text" else rows[c] for c in docs.columns
+    joined = rows.join(gone, F.col("number") == F.col("gone_id"), "left")
+    return joined.where("gone_lines is null or size(split(row.text, '\n', -1)) > size(gone_lines)").select(*[
+        F.when(F.col("gone_lines").isNull(), F.col("row")[c]).otherwise(left).alias(c, metadata=docs.schema[c].metadata)
+        if c == "text" else F.col("row")[c].alias(c, metadata=docs.schema[c].metadata) for c in docs.columns
     ])
