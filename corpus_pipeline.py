@@ -9,20 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, jaccard, lines, packing, quality
-from tidemark.llm.common import NUMBER, ROW, numbered, saved
+from tidemark.llm.common import numbered, saved, with_row_key
 from tidemark.llm.queries import TOKENIZER, table
 
 
 def _without(docs: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The rows that ``find`` does not name: it sees a number of each row as ``doc_id``, so no row goes with another."""
     rows = numbered(docs)
-    gone = find(rows.withColumn("doc_id", F.col(NUMBER))).select(F.col("doc_id").alias("gone_id")).distinct()
-    return rows.join(gone, rows[NUMBER] == gone["gone_id"], "left_anti").select(*docs.columns)
+    gone = find(rows.select(F.col("number").alias("doc_id"), "row.text")).select(F.col("doc_id").alias("gone_id")).distinct()
+    return rows.join(gone, F.col("number") == F.col("gone_id"), "left_anti").select(*[
+        F.col("row")[c].alias(c, metadata=docs.schema[c].metadata) for c in docs.columns])
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps, each with a key of its row."""
-    return quality.good(docs, table(spark, sf_dir, "labels")).withColumn(ROW, F.monotonically_increasing_id())
+    return with_row_key(quality.good(docs, table(spark, sf_dir, "labels")))
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
