@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import random
 import re
+import string
 import textwrap
 import time
 import zlib
@@ -258,3 +260,44 @@ def test_open_parts_cost_in_proportion_to_the_text(line):
             "from this software without specific prior written permission.", "see ": "for details"}
     # The last open start takes the tail; those before run over it and know no other sentence.
     assert len(licenses.known_sentences(text + ends[line[:4]])) == 1
+
+
+@pytest.fixture(scope="module")
+def models(spark):
+    rows = [(k, prose(k, 400) + " password: hunter2hunter2" * (k % 5 == 0)) for k in range(40)]
+    return secrets.fit(secrets.labelled(spark.createDataFrame(rows, "doc_id long, text string")))
+
+
+def judged(spark, models, strings):
+    rows = [(k, f"x {s} y") for k, s in enumerate(strings)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), models).collect()
+    return {strings[r.doc_id] for r in found if any(s.kind == secrets.KINDS.index("markov") for s in r.spans)}
+
+
+@pytest.mark.parametrize("letters, size, prefix", [
+    ("0123456789ABCDEF", 32, ""), (string.ascii_uppercase + string.digits, 24, ""), (string.ascii_lowercase + string.digits, 32, ""),
+    (string.ascii_letters + string.digits, 20, ""), (string.ascii_letters + string.digits + "+/", 40, ""),
+    (string.ascii_letters + string.digits, 36, "ghp_"),
+])
+def test_models_find_random_strings(spark, models, letters, size, prefix):
+    draw = random.Random(size)
+    strings = [prefix + "".join(draw.choice(letters) for _ in range(size)) for _ in range(100)]
+    assert len(judged(spark, models, strings)) >= 90
+
+
+def test_models_leave_ordinary_strings(spark, models):
+    names = """getUserAccountById calculate_total_price MAX_CONNECTION_TIMEOUT_MS /usr/local/lib/python3/site-packages
+        my-awesome-blog-post-2024 AbstractSingletonProxyFactoryBean org/apache/spark/sql/catalyst internationalization
+        background-color-transparent responsibilities electroencephalography DEFAULT_BUFFER_SIZE_BYTES customer_invoice_2023_q4
+        ---------------- ==================== aaaaaaaaaaaaaaaaaaaa abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ
+        2024-01-15T10-30-00 /images/2019/05/photo_0123""".split()
+    assert judged(spark, models, names) == set()
+
+
+def test_a_string_around_a_known_form_is_judged_whole(spark, models):
+    whole = "q7Zp0XvK2mTb" + "0123456789abcdef" + "R4wYs9LdQe8N"
+    text = f"é {whole} 0123456789abcdef0 "
+    found = secrets.digest(secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"), models)).first()
+    at = text.index(whole)
+    assert f"markov:{at}:{at + len(whole)}" in found.spans.split(",")
+    assert (found.n_hex, found.spans.count("markov")) == (2, 1)

@@ -1,13 +1,16 @@
-"""Secrets: known forms by pattern, others by two character Markov models."""
+"""Secrets: known forms by pattern, others by character Markov models of random strings and of ordinary ones."""
 
 from __future__ import annotations
 
 import math
+import string as ascii_sets
+from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, running_starts, texts
+from tidemark.llm.common import let, running_starts, saved, texts
 
 # The known forms.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]++)"""
@@ -20,8 +23,43 @@ KINDS = ("assign", "access", "hex", "markov")
 STRING = r"[A-Za-z0-9+/_=-]{16,}+"
 CODES = 128
 SMOOTHING = 0.5
-# Least mean log-likelihood ratio of a step, in nats.
+# What a random model leaves for characters outside its alphabet.
+OUTSIDE = 0.001
+# Least mean log-likelihood ratio of a step in nats, where no samples are held out to choose it.
 THRESHOLD = 0.7
+# The threshold lies between what so many of the held-out ordinary strings exceed and what so many of the random ones do not reach.
+FALSE_ALARMS = 0.005
+MISSES = 0.01
+HELD_OUT = 5
+
+# Labelled samples: so many random strings of each alphabet, so many identifiers, rulers and dates, the words of about so many documents.
+SAMPLES = 3000
+IDENTIFIERS = 12000
+LAYOUTS = 3000
+WORD_DOCS = 2000
+
+# Alphabets of keys and tokens.
+ALPHABETS = {
+    "lower hex": "0123456789abcdef",
+    "upper hex": "0123456789ABCDEF",
+    "lower and digits": ascii_sets.ascii_lowercase + ascii_sets.digits,
+    "upper and digits": ascii_sets.ascii_uppercase + ascii_sets.digits,
+    "letters and digits": ascii_sets.ascii_letters + ascii_sets.digits,
+    "base64": ascii_sets.ascii_letters + ascii_sets.digits + "+/",
+    "base64 for urls": ascii_sets.ascii_letters + ascii_sets.digits + "-_",
+}
+# Words that programs name things by.
+NAME_WORDS = """
+    get set add remove create update delete find read write open close load save send receive start stop init run check
+    test build parse format convert validate handle process request response server client user account name address
+    customer order product item list map array index count total number value key type class object method function
+    field column row table query database connection session config option setting default max min size length width
+    height time date year month day event message error warning exception result status state file path folder image
+    text string word line page document report data source target input output buffer stream channel thread queue lock
+    cache memory local remote public private static abstract base factory manager service controller view model test
+    json http html number color button window screen version release branch commit project module package library
+    include example share local bin home application context environment variable parameter attribute property element
+""".split()
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
@@ -73,29 +111,90 @@ def base_spans(docs: DataFrame) -> DataFrame:
     )
 
 
-def _known(string: Column) -> Column:
-    return string.rlike(ACCESS) | string.rlike(HEX)
+def _random_samples(docs: DataFrame) -> DataFrame:
+    """``SAMPLES`` strings of each alphabet, 16 to 63 characters, drawn by hash: the same on every run."""
+    names = list(ALPHABETS)
+    kind = F.col("id") % len(names)
+    letters = F.array(*[F.lit(v) for v in ALPHABETS.values()])[kind.cast("int")]
+    size = F.lit(16) + F.pmod(F.xxhash64("id", F.lit("size")), F.lit(48))
+    drawn = F.transform(F.sequence(F.lit(1), size.cast("int")), lambda i: F.substring(
+        letters, (F.pmod(F.xxhash64("id", i), F.length(letters)) + 1).cast("int"), F.lit(1)))
+    return docs.sparkSession.range(SAMPLES * len(names), numPartitions=8).select(
+        F.lit(True).alias("random"), F.array(*map(F.lit, names))[kind.cast("int")].alias("kind"), F.array_join(drawn, "").alias("string"))
+
+
+def _named(words: Column, seed: Column) -> Column:
+    """The words as one identifier, in a style that the seed chooses."""
+    low = F.transform(words, F.lower)
+    pascal = F.array_join(F.transform(low, F.initcap), "")
+    styles = [
+        F.array_join(low, "_"), F.concat(F.substring(low[0], 1, 99), F.array_join(F.transform(
+            F.slice(low, 2, F.lit(9)), F.initcap), "")), pascal, F.upper(F.array_join(low, "_")), F.array_join(low, "-"),
+        F.concat(F.lit("/"), F.array_join(low, "/")), F.array_join(low, ""), F.concat(F.array_join(low, "_"), F.lit("_"), F.pmod(
+            seed, F.lit(3000)).cast("string")), F.concat(pascal, F.pmod(seed, F.lit(100)).cast("string")),
+    ]
+    at = F.pmod(F.shiftright(seed, 20), F.lit(len(styles)))
+    out = styles[-1]
+    for k, style in enumerate(styles[:-1]):
+        out = F.when(at == k, style).otherwise(out)
+    return out
+
+
+def _identifiers(docs: DataFrame) -> DataFrame:
+    """``IDENTIFIERS`` names of two to five of ``NAME_WORDS``, drawn by hash."""
+    listed = F.array(*map(F.lit, NAME_WORDS))
+    n = F.lit(2) + F.pmod(F.xxhash64("id", F.lit("n")), F.lit(4))
+    words = F.transform(F.sequence(F.lit(1), n.cast("int")), lambda i: listed[
+        F.pmod(F.xxhash64("id", i), F.lit(len(NAME_WORDS))).cast("int")])
+    return docs.sparkSession.range(IDENTIFIERS, numPartitions=8).select(
+        F.lit(False).alias("random"), F.lit("names").alias("kind"), _named(words, F.xxhash64("id", F.lit("style"))).alias("string"))
+
+
+def _layouts(docs: DataFrame) -> DataFrame:
+    """``LAYOUTS`` rulers, runs of the alphabet, dates and times, drawn by hash."""
+    def draw(name: str, n: int) -> Column:
+        return F.pmod(F.xxhash64("id", F.lit(name)), F.lit(n)).cast("int")
+
+    size = F.lit(16) + draw("size", 60)
+    sign = F.substring(F.lit("-=_+/xaA0"), draw("sign", 9) + 1, F.lit(1))
+    listed = F.substring(F.array(*[F.lit(v * 3) for v in (
+        ascii_sets.ascii_lowercase, ascii_sets.ascii_uppercase, ascii_sets.digits)])[draw("list", 3)], draw("from", 26) + 1, size)
+    moment = F.timestamp_seconds(draw("moment", 2_000_000_000))
+    dated = F.array(*[F.date_format(moment, form) for form in (
+        "yyyy-MM-dd'T'HH-mm-ss", "yyyyMMdd_HHmmss", "yyyy/MM/dd/HH/mm/ss", "yyyy-MM-dd_HH-mm")])[draw("form", 4)]
+    return docs.sparkSession.range(LAYOUTS, numPartitions=8).select(
+        F.lit(False).alias("random"), F.lit("layout").alias("kind"),
+        F.array(F.repeat(sign, size), listed, dated)[draw("style", 3)].alias("string"))
+
+
+def _corpus_names(docs: DataFrame) -> DataFrame:
+    """Names of three neighbouring words each, from about ``WORD_DOCS`` documents chosen by hash."""
+    share = max(1, docs.count() // WORD_DOCS)
+    runs = F.regexp_extract_all("text", F.lit(r"[A-Za-z]{2,}+"), F.lit(0))
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(share)) == 0).select(runs.alias("words"))
+    starts = F.when(F.size("words") >= 3, F.sequence(F.lit(1), F.size("words") - 2, F.lit(3))).otherwise(F.array().cast("array<int>"))
+    named = F.transform(starts, lambda i: _named(F.slice("words", i, F.lit(3)), F.xxhash64(F.element_at("words", i), i)))
+    return chosen.select(F.explode(named).alias("string")).select(F.lit(False).alias("random"), F.lit("corpus").alias("kind"), "string")
 
 
 def labelled(docs: DataFrame) -> DataFrame:
-    """``(random, string)`` for training: values of known secrets, and the strings around them.
+    """``(random, kind, string)`` for training: each kind gives one model.
 
-    All documents give samples. A string inside no known secret counts as an
-    ordinary identifier; the few unknown secrets among them do not matter.
+    Random are strings drawn from ``ALPHABETS`` and the values of all known secrets of the corpus. Ordinary are names of
+    ``NAME_WORDS``, names of the corpus's own words, rulers and dates. Strings of the corpus that no pattern knows are no samples,
+    since the unknown secrets are among them. How many are drawn does not grow with the corpus.
     """
     text = F.col("text")
     df = texts(docs)
+    none = F.array().cast("array<string>")
     values = F.when(text.rlike(ASSIGN), F.filter(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: F.length(v) >= ASSIGN_CHARS))
     access = F.when(text.rlike(ACCESS), F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)))
-    around = F.regexp_extract_all(F.regexp_replace(text, ASSIGN, " "), F.lit(STRING), F.lit(0))
-    none = F.array().cast("array<string>")
-    df = df.select(F.explode(F.concat(
-        F.transform(F.coalesce(values, none), lambda v: F.struct(F.lit(True).alias("random"), v.alias("string"))),
-        F.transform(F.coalesce(access, none), lambda v: F.struct(F.lit(True).alias("random"), v.alias("string"))),
-        F.transform(around, lambda v: F.struct(F.lit(False).alias("random"), v.alias("string"))),
-    )).alias("s")).select("s.*")
-    return df.where(F.col("random") | ~_known(F.col("string")))
+    found = df.select(F.explode(F.concat(F.coalesce(values, none), F.coalesce(access, none))).alias("string")).select(
+        F.lit(True).alias("random"), F.lit("values").alias("kind"), "string")
+    for more in (_random_samples(docs), _identifiers(docs), _layouts(docs), _corpus_names(df)):
+        found = found.unionByName(more)
+    return found
 
 
 def _steps(string: Column) -> Column:
@@ -104,54 +203,127 @@ def _steps(string: Column) -> Column:
     return F.zip_with(chars, F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))), lambda a, b: a * CODES + b)
 
 
-def fit(samples: DataFrame) -> list[float]:
-    """Log-likelihood ratio of each step, random against ordinary: ``CODES * CODES`` numbers.
-
-    First-order models with additive smoothing; a model without samples is
-    uniform. The counts are a bounded table whatever the corpus.
-    """
-    steps = samples.select("random", F.explode(_steps(F.col("string"))).alias("step")).where("step is not null")
-    counts = {True: {}, False: {}}
-    for random, step, n in steps.groupBy("random", "step").count().collect():
-        counts[random][step] = n
-    from_sums = {k: [0.0] * CODES for k in counts}
-    alphabet = {s % CODES for c in counts.values() for s in c} | {s // CODES for c in counts.values() for s in c}
-    for k, table in counts.items():
-        for step, n in table.items():
-            from_sums[k][step // CODES] += n
+def _random_model(counts: dict[int, int]) -> list[float]:
+    """Log-probability of each step: additive smoothing over the characters seen, a little for all others."""
+    alphabet = {s % CODES for s in counts} | {s // CODES for s in counts}
+    sums: dict[int, float] = defaultdict(float)
+    for step, n in counts.items():
+        sums[step // CODES] += n
     size = max(1, len(alphabet))
 
-    def log_p(k: bool, step: int) -> float:
-        return math.log((counts[k].get(step, 0) + SMOOTHING) / (from_sums[k][step // CODES] + SMOOTHING * size))
+    def p(step: int) -> float:
+        inside = (counts.get(step, 0) + SMOOTHING) / (sums[step // CODES] + SMOOTHING * size) if step % CODES in alphabet else 0.0
+        return (1 - OUTSIDE) * inside + OUTSIDE / CODES
 
-    return [log_p(True, s) - log_p(False, s) for s in range(CODES * CODES)]
+    return [math.log(p(s)) for s in range(CODES * CODES)]
 
 
-def _ratio(string: Column, table: Column) -> Column:
-    """Mean log-likelihood ratio of the string's steps."""
-    total = F.aggregate(
-        F.split(string, ""), F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum")),
-        lambda s, c: F.struct(
-            (F.ascii(c) % CODES).alias("last"),
-            (s["sum"] + F.when(s["last"] < 0, 0.0).otherwise(table[s["last"] * CODES + F.ascii(c) % CODES])).alias("sum"),
-        ),
-        lambda s: s["sum"],
-    )
-    return total / (F.length(string) - 1)
+def _sort_of(code: int) -> str:
+    char = chr(code)
+    return "a" if char.islower() else "A" if char.isupper() else "0" if char.isdigit() else char
+
 
+def _ordinary_model(counts: dict[int, int]) -> list[float]:
+    """Log-probability of each step: characters as counted, mixed with the sorts of characters and letters of either case.
 
-def find_secrets(docs: DataFrame, model: list[float], threshold: float = THRESHOLD) -> DataFrame:
+    So capitals of a name cost what its letters cost, even where few names have them.
+    """
+    plain: dict[int, float] = defaultdict(float)
+    sorts: dict[tuple, float] = defaultdict(float)
+    letters: dict[tuple, float] = defaultdict(float)
+    for step, n in counts.items():
+        a, b = divmod(step, CODES)
+        plain[a] += n
+        sorts[_sort_of(a), _sort_of(b)] += n
+        sorts[_sort_of(a), None] += n
+        if chr(b).isalpha():
+            letters[chr(a).lower(), chr(b).lower()] += n
+            letters[chr(a).lower(), None] += n
+    n_sorts = max(1, len({_sort_of(s % CODES) for s in counts} | {_sort_of(s // CODES) for s in counts}))
+
+    def p(step: int) -> float:
+        a, b = divmod(step, CODES)
+        one, other = chr(a), chr(b)
+        moved = (sorts[_sort_of(a), _sort_of(b)] + SMOOTHING) / (sorts[_sort_of(a), None] + SMOOTHING * n_sorts)
+        inside = 1.0
+        if other.isalpha():
+            inside = (letters[one.lower(), other.lower()] + SMOOTHING) / (letters[one.lower(), None] + SMOOTHING * 26)
+        elif other.isdigit():
+            inside = 0.1
+        return 0.5 * (counts.get(step, 0) / plain[a] if plain[a] else 0.0) + 0.5 * moved * inside
+
+    return [math.log(p(s)) for s in range(CODES * CODES)]
+
+
+@dataclass(frozen=True)
+class Models:
+    """Log-probabilities of steps, a table of ``CODES * CODES`` for each kind, and the least mean ratio of a secret."""
+
+    random: tuple[list[float], ...]
+    ordinary: tuple[list[float], ...]
+    threshold: float
+
+
+def fit(samples: DataFrame) -> Models:
+    """First-order models, one per kind of sample, and the threshold.
+
+    A fifth of the strings, chosen by hash, is held out. The threshold is half way between the ratio that ``FALSE_ALARMS`` of the
+    ordinary ones exceed and the one that ``MISSES`` of the random ones do not reach; if these overlap it is the former. Without samples of both sides the models are uniform. The
+    counts are a bounded table whatever the corpus.
+    """
+    samples = saved(samples, "secrets-samples")
+    held = F.pmod(F.xxhash64("string", F.lit("held")), F.lit(HELD_OUT)) == 0
+    steps = samples.where(~held).select("random", "kind", F.explode(_steps(F.col("string"))).alias("step")).where("step is not null")
+    counts: dict[bool, dict[str, dict[int, int]]] = {True: defaultdict(dict), False: defaultdict(dict)}
+    for random, kind, step, n in steps.groupBy("random", "kind", "step").count().collect():
+        counts[random][kind][step] = n
+    random = tuple(_random_model(counts[True][k]) for k in sorted(counts[True])) or (_random_model({}),)
+    ordinary = tuple(_ordinary_model(counts[False][k]) for k in sorted(counts[False])) or (_random_model({}),)
+    models = Models(random, ordinary, THRESHOLD)
+    checked = samples.where(held & (F.col("kind") != "values") & F.col("string").rlike(f"^{STRING}$")).select(
+        "random", _ratio(F.col("string"), models).alias("ratio"))
+    high, low = checked.agg(
+        F.percentile_approx(F.when(~F.col("random"), F.col("ratio")), 1 - FALSE_ALARMS, 10000),
+        F.percentile_approx(F.when(F.col("random"), F.col("ratio")), MISSES, 10000)).first()
+    if high is None or low is None:
+        return models
+    return Models(random, ordinary, max(high, (high + low) / 2))
+
+
+def _ratio(string: Column, models: Models) -> Column:
+    """Mean log-likelihood ratio of the string's steps: the likeliest random model against the likeliest ordinary one."""
+    tables = [F.split(F.lit(",".join(f"{x:.4f}" for x in t)), ",").cast("array<double>") for t in (*models.random, *models.ordinary)]
+
+    def step(s: Column, code: Column) -> Column:
+        at = s["last"] * CODES + code
+        return F.struct(code.alias("last"), *[
+            F.when(s["last"] < 0, 0.0).otherwise(s[f"s{k}"] + t[at]).alias(f"s{k}") for k, t in enumerate(tables)])
+
+    def gain(s: Column) -> Column:
+        sums = [s[f"s{k}"] for k in range(len(tables))]
+        return _greatest(sums[: len(models.random)]) - _greatest(sums[len(models.random) :])
+
+    codes = F.transform(F.split(string, ""), lambda c: F.ascii(c) % CODES)
+    start = F.struct(F.lit(-1).alias("last"), *[F.lit(0.0).alias(f"s{k}") for k in range(len(tables))])
+    return F.aggregate(codes, start, step, gain) / (F.length(string) - 1)
+
+
+def _greatest(values: list[Column]) -> Column:
+    return F.greatest(*values) if len(values) > 1 else values[0]
+
+
+def find_secrets(docs: DataFrame, models: Models) -> DataFrame:
     """``(doc_id, spans)``: all spans as ``(start, kind, end)`` by start, then kind; kinds index ``KINDS``.
 
-    The models judge strings of 16 characters or more between the assignments
-    that hold no other known form, so their spans never touch known ones.
+    The models judge strings of 16 characters or more between the assignments, but for those that are a
+    known form from end to end; a string that holds one and more besides is judged whole, and its span covers the known one.
     A null text is empty; an empty one has no spans. Rows map to rows.
     """
-    table = F.split(F.lit(",".join(f"{x:.6f}" for x in model)), ",").cast("array<double>")
     none = F.array().cast(SPANS)
 
     def strings(gap: Column, start: Column) -> Column:
-        judged = F.filter(_placed(_pieces(gap, STRING)), lambda x: ~_known(x["match"]) & (_ratio(x["match"], table) >= threshold))
+        judged = F.filter(_placed(_pieces(gap, STRING)), lambda x: ~x["match"].rlike(f"^(?:{ACCESS}|{HEX})$") & (
+            _ratio(x["match"], models) >= models.threshold))
         return F.when(gap.rlike(STRING), F.transform(judged, lambda x: F.struct(
             (start + x["start"]).alias("start"), F.lit(KINDS.index("markov")).alias("kind"),
             (start + x["start"] + F.length(x["match"])).alias("end"),
