@@ -150,6 +150,27 @@ def test_fingerprint_ignores_order(spark):
     assert lineage.fingerprint(df.limit(0)).first()["n_rows"] == 0
 
 
+def test_fingerprint_tells_where_values_end_and_nulls_are(spark):
+    def root(rows):
+        return lineage.fingerprint(spark.createDataFrame(rows, "a string, b string")).first()["fingerprint"]
+
+    tables = [[("ab", "c")], [("a", "bc")], [(None, "abc")], [("", "abc")], [("abc", None)], [("N", "c")], [("1:a", "bc")]]
+    assert len({root(t) for t in tables}) == len(tables)
+    # Rows that repeat count, and a value moved between rows shows.
+    assert len({root(t) for t in ([("a", "b"), ("c", "d")], [("a", "d"), ("c", "b")], [("a", "b")] * 2, [("a", "b")] * 3)}) == 4
+
+
+def test_changed_parts_name_where_a_table_differs(spark):
+    df = spark.range(300).select("id", (F.col("id") % 5).alias("k"))
+    later = df.where("k != 4").withColumn("id", F.when(F.col("id") == 11, -1).otherwise(F.col("id"))).unionByName(
+        spark.createDataFrame([(1, None)], "id long, k long"))
+    parts = [lineage.fingerprint_parts(d, ["k"]) for d in (df, later)]
+    assert rows(lineage.changed_parts(*parts)) == sorted([("1:1", 60, 60), ("1:4", 60, None), ("N", None, 1)], key=repr)
+    assert lineage.changed_parts(parts[0], parts[0]).isEmpty()
+    moved = lineage.changed_parts(*[lineage.fingerprint_parts(d) for d in (df, df.withColumn("k", F.expr("if(id = 7, 0, k)")))])
+    assert 1 <= moved.count() <= 2
+
+
 def test_train_evaluate_promote_retrain(spark, folder):
     data = [(i, ("n", "s", "e", None)[i % 4], 2015 + i % 8, float(i % 13), float(3 * (i % 13) + i % 5)) for i in range(400)]
     master = spark.createDataFrame(data, "id int, place string, year int, x double, y double")
@@ -169,7 +190,7 @@ def test_train_evaluate_promote_retrain(spark, folder):
     # The test locality has rows of 2015 and 2019 only, so the one-year test is empty.
     assert found["optional_test_count"] == 1 and "recent_4_year_rmsle" in found
     assert not any(k.startswith("recent_1") for k in found)
-    assert "train_fingerprint" in live["tags"] and live["params"]["model_type"] == "ridge"
+    assert {"train_fingerprint", "reference_fingerprint", "recent_4_year_fingerprint"} <= set(live["tags"]) and live["params"]["model_type"] == "ridge"
     scored = job.store.load_by_alias("m").predict(master, keep=["id"])
     assert scored.count() == 400
     assert job.store.load_version("m", 1) and rows(job.decisions().select("production")).count((True,)) == 1

@@ -118,7 +118,7 @@ class TrainingJob:
         return decision
 
     def _lineage(self, run_id: str, tables: SplitTables) -> Mapping[str, str]:
-        prints = lineage.lineage_rows(run_id, {"train": tables.train, "reference": tables.reference})
+        prints = lineage.lineage_rows(run_id, {"train": tables.train, "reference": tables.reference, **tables.recent})
         return {f"{r['table_name']}_fingerprint": r["fingerprint"] for r in prints.collect()}
 
     def decisions(self) -> DataFrame:

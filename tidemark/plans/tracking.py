@@ -229,16 +229,67 @@ def experiment_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.experiment_list(listed)
 
 
-@query()
+# Columns of the tables in the order of their names.
+_COLUMNS = {
+    "customer": "c_acctbal c_custkey c_mktsegment c_name c_nationkey".split(),
+    "lineitem": "l_discount l_extendedprice l_linenumber l_linestatus l_orderkey l_partkey l_quantity l_returnflag l_shipdate "
+                "l_suppkey l_tax".split(),
+    "orders": "o_custkey o_orderdate o_orderkey o_orderpriority o_orderstatus o_totalprice".split(),
+}
+
+
+def _digest(*values: str) -> str:
+    texts = [f"coalesce(length({v}::VARCHAR) || ':' || {v}::VARCHAR, 'N')" for v in values]
+    return f"md5({' || '.join(texts)})"
+
+
+def _folds(digest: str) -> str:
+    """The two sums of a digest's halves, as text after a separator."""
+    return " || ".join(
+        f"'|' || coalesce(sum(('0x' || substr({digest}, {start}, 15))::BIGINT), 0)::VARCHAR" for start in (1, 16))
+
+
+def _parts_sql(name: str, part: str, source: str | None = None) -> str:
+    """``(part, n_rows, fingerprint)``; ``part`` may use the row's digest ``d``."""
+    rows = f"SELECT *, {_digest(*_COLUMNS[name])} AS d FROM {source or name}"
+    return f"SELECT {part} AS part, count(*) AS n_rows, md5(count(*)::VARCHAR || {_folds('d')}) AS fingerprint FROM ({rows}) GROUP BY 1"
+
+
+def _fingerprint_sql(name: str) -> str:
+    leaves = f"SELECT *, {_digest('part', 'n_rows', 'fingerprint')} AS d FROM ({_parts_sql(name, 'substr(d, 1, 2)')})"
+    columns = ",".join(_COLUMNS[name])
+    return (f"SELECT coalesce(sum(n_rows), 0)::BIGINT AS n_rows, md5('{columns}|' || coalesce(sum(n_rows), 0)::VARCHAR || {_folds('d')}) "
+            f"AS fingerprint FROM ({leaves})")
+
+
+_BY_FLAGS = "length(l_returnflag) || ':' || l_returnflag || '|' || length(l_linestatus) || ':' || l_linestatus"
+
+
+@query(_fingerprint_sql("lineitem"))
 def table_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineage.fingerprint(table(spark, sf_dir, "lineitem"))
 
 
+@query(_parts_sql("lineitem", _BY_FLAGS))
+def fingerprint_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineage.fingerprint_parts(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
 @query(
-    "SELECT 'run_0' AS run_id, 'orders' AS table_name, count(*) AS n_rows FROM orders "
-    "UNION ALL SELECT 'run_0', 'lineitem', count(*) FROM lineitem "
-    "UNION ALL SELECT 'run_0', 'customer', count(*) FROM customer"
+    """SELECT '1:' || l_linenumber AS part, count(*) AS n_before,
+              CASE WHEN l_linenumber = 3 THEN count(*) END AS n_after
+    FROM lineitem WHERE l_linenumber IN (3, 5) GROUP BY l_linenumber"""
 )
+def changed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part's values change, another part goes: these two are named."""
+    lines = table(spark, sf_dir, "lineitem")
+    later = lines.where("l_linenumber != 5").withColumn(
+        "l_tax", F.when(F.col("l_linenumber") == 3, F.col("l_tax") + 1).otherwise(F.col("l_tax")))
+    before, after = (lineage.fingerprint_parts(df, ["l_linenumber"]) for df in (lines, later))
+    return lineage.changed_parts(before, after)
+
+
+@query(" UNION ALL ".join(
+    f"SELECT 'run_0' AS run_id, '{name}' AS table_name, * FROM ({_fingerprint_sql(name)})" for name in ("orders", "lineitem", "customer")))
 def lineage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "customer")}
-    return lineage.lineage_rows("run_0", tables).select("run_id", "table_name", "n_rows")
+    return lineage.lineage_rows("run_0", {n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "customer")})
