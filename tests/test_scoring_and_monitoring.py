@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -10,6 +11,7 @@ from tidemark.config import ColumnRule, Contract, Feature, FeatureSchema, ModelS
 from tidemark.functions.buckets import bucket_index, quantile_from_counts
 from tidemark.operators import models, monitor, scoring
 from tidemark.operators.ordered import Chunks
+from tidemark.streaming import scoring as streamed
 
 
 def test_thresholds():
@@ -58,6 +60,40 @@ def test_score_batch(spark):
     assert only_ids.count() == 4
 
 
+def test_score_stream_repeats_a_step_without_repeating_rows(spark, folder, monkeypatch):
+    contract = Contract(columns={"x": ColumnRule("float", min=0)})
+    train = spark.createDataFrame([(float(i), 2.0 * i) for i in range(20)], "x double, y double")
+    model, _ = models.train(train, FeatureSchema((Feature("x", "numeric"),)), ModelSpec("ridge", {"alpha": 0.0}), "y")
+
+    def run():
+        source = spark.readStream.schema("id int, x double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        streamed.score_stream(source, model, contract, ["id"], f"{folder}/out", f"{folder}/checkpoint", thresholds=[7.0],
+                              available_now=True).awaitTermination()
+
+    def arrive(*requests):
+        spark.createDataFrame(list(requests), "id int, x double").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+
+    arrive((1, 3.0), (2, -1.0))
+    run()
+    arrive((3, 4.0), (4, None), (5, -2.0))
+    plain = streamed.score_batch
+
+    def broken(*args):
+        scored, rejected = plain(*args)
+        return scored.withColumn("prediction", F.raise_error(F.lit("lost"))), rejected
+
+    monkeypatch.setattr(streamed, "score_batch", broken)
+    with pytest.raises(StreamingQueryException):
+        run()
+    # The rejected rows of the broken step are written already; the repeated step replaces them.
+    assert rows(streamed.rejected_rows(spark, f"{folder}/out").select("id")) == [(2,), (4,), (5,)]
+    monkeypatch.setattr(streamed, "score_batch", plain)
+    run()
+    scored = streamed.scored_rows(spark, f"{folder}/out").select("id", F.round("prediction", 6), "category", "step")
+    assert rows(scored) == [(1, 6.0, "bucket_0", 0), (3, 8.0, "bucket_1", 1)]
+    assert rows(streamed.rejected_rows(spark, f"{folder}/out").select("id", "step")) == [(2, 0), (4, 1), (5, 1)]
+
+
 def test_confidence_histogram(spark):
     df = spark.createDataFrame([(0.1,), (0.15,), (1.0,), (None,)], "confidence double")
     got = {r["le"]: r["n_cumulative"] for r in scoring.confidence_histogram(df).collect()}
