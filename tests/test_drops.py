@@ -11,9 +11,11 @@ from conftest import rows
 from test_ingestion import CONTRACT, HEADER, put
 from test_linked_and_images import tiff
 from tidemark.jobs.drops import Ledger, ingest_drops, open_drops, overdue_drops
-from tidemark.sources.folders import put_marker, ready_markers
+from tidemark.plans import landing
+from tidemark.sources.folders import publish_parts, put_marker, ready_markers
 from tidemark.sources.listing import IngestionError
 from tidemark.sources.master import MasterTable
+from tidemark.sources.tabular import files_with_rows, write_csv
 
 
 @pytest.fixture()
@@ -128,3 +130,38 @@ def test_rejects_and_unknown_files(spark, drops, folder):
 
 def test_folders_without_markers(spark, drops):
     assert ready_markers(spark, drops.incoming + "/nothing") == [] and drops.ingest() == []
+
+
+def test_parts_without_rows_are_not_delivered(spark, folder, drops):
+    # Spark's first task writes a header even when its rows are all filtered away.
+    late = spark.range(0, 8, 1, 4).where("id >= 4").selectExpr("cast(id AS string) AS id", "1 AS n", "id + 0.5D AS x", "'' AS image")
+    late = late.toDF(*HEADER.strip().split(","))
+    write_csv(late, folder + "/written")
+    names = files_with_rows(spark, folder + "/written")
+    assert publish_parts(spark, folder + "/written", drops.incoming, ".csv") == len(names) + 1 == 3
+    with pytest.raises(IngestionError, match="without rows"):
+        drops.close()
+        drops.ingest()
+
+    assert publish_parts(spark, folder + "/written", f"{drops.incoming}/whole", ".csv", names) == 2
+    Path(drops.incoming, "_READY").unlink()
+    drops.close("whole")
+    (result,) = drops.ingest(ledger="/whole-ledger")
+    assert result.rows_batch == 4 and drops.content() == {str(k): k + 0.5 for k in range(4, 8)}
+
+
+def test_deliveries_land_where_the_first_part_has_no_rows(spark, folder):
+    Path(folder, "orders.parquet").mkdir()
+    orders = spark.createDataFrame(
+        [(k, "P" if k > 2 else "F", 500000.0 if k == 4 else 100.0 * k) for k in range(1, 6)], "o_orderkey long, o_orderstatus string, o_totalprice double")
+    for status in "FP":  # the larger file is read by the first task
+        orders.where(f"o_orderstatus = '{status}'").selectExpr("*", f"repeat(uuid(), {2000 if status == 'F' else 1}) AS wide").coalesce(
+            1).write.mode("append").parquet(f"{folder}/orders.parquet")
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set(key, 4096)
+    try:
+        master, rejects = landing._deliveries(spark, folder)
+    finally:
+        spark.conf.set(key, before)
+    assert rows(master.read()) == [(1, "F", 100.0), (2, "F", 200.0), (3, "P", 300.0), (5, "P", 500.0)]
+    assert rows(spark.read.parquet(rejects).groupBy("o_orderkey").count()) == [("4", 2)]

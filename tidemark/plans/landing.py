@@ -15,7 +15,7 @@ from tidemark.plans.monitoring import ALERTS_BY_RULE, EVENT_RULES, STRETCHES, ev
 from tidemark.session import scratch_path
 from tidemark.sources.folders import publish_parts, put_marker
 from tidemark.sources.master import MasterTable
-from tidemark.sources.tabular import write_csv
+from tidemark.sources.tabular import files_with_rows, write_csv
 from tidemark.streaming import events as stream
 from tidemark.streaming.landing import ingest_stream
 
@@ -61,8 +61,9 @@ def _deliveries(spark: SparkSession, sf_dir: str) -> tuple[MasterTable, str]:
     price = F.col("o_totalprice")
     halved = orders.where(open_orders).withColumn("o_totalprice", F.when(price <= 480000, price / 2).otherwise(price))
     for step, (drop, rows) in enumerate((("a", halved), ("b", orders.where(~open_orders)), ("a", orders.where(open_orders)))):
-        write_csv(rows, f"{root}/written/{step}")
-        publish_parts(spark, f"{root}/written/{step}", f"{root}/incoming/{drop}", ".csv")
+        written = f"{root}/written/{step}"
+        write_csv(rows, written)
+        publish_parts(spark, written, f"{root}/incoming/{drop}", ".csv", files_with_rows(spark, written))
         if drop == "a":
             put_marker(spark, f"{root}/incoming/a")
             ingest_drops(spark, f"{root}/incoming", f"{root}/raw", f"{root}/ledger", ORDER_FILES, master, f"{root}/rejects")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -54,10 +55,13 @@ def put_marker(spark: SparkSession, folder: str) -> None:
     system.create(path, True).close()
 
 
-def publish_parts(spark: SparkSession, written: str, folder: str, suffix: str) -> int:
-    """Copy the part files of a written table into a folder under names that stay the same, over older ones."""
+def publish_parts(spark: SparkSession, written: str, folder: str, suffix: str, names: Collection[str] | None = None) -> int:
+    """Copy the part files of a written table, or those named, into a folder under names that stay the same, over older ones."""
     system, path = _open(spark, f"{written}/part-*")
     parts = sorted((s.getPath() for s in system.globStatus(path) or []), key=lambda p: p.getName())
+    parts = [p for p in parts if names is None or p.getName() in names]
+    target_system, target = _open(spark, folder)
+    target_system.mkdirs(target)
     for number, part in enumerate(parts):
         target_system, target = _open(spark, f"{folder}/part-{number:05d}{suffix}")
         spark._jvm.org.apache.hadoop.fs.FileUtil.copy(

@@ -126,3 +126,9 @@ def cast_to_contract(df: DataFrame, contract: Contract) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink with a header per file."""
     df.write.option("header", True).csv(path)
+
+
+def files_with_rows(spark: SparkSession, path: str) -> set[str]:
+    """Names of the files of a CSV table that hold more than a header: Spark's first task writes one even without rows."""
+    rows = spark.read.option("header", True).csv(path).select(F.col("_metadata.file_name").alias("name"))
+    return {r["name"] for r in rows.distinct().collect()}  # one row per file
