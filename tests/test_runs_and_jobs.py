@@ -203,3 +203,39 @@ def test_train_evaluate_promote_retrain(spark, folder):
     with pytest.raises(ValueError, match="train split is empty"):
         job.run(master.where("place = 'n'"), spec, features, ModelSpec("ridge"), "y", RunConfig(1, 1, 1))
     assert job.store.runs().where("status = 'FAILED'").count() == 1
+
+
+def test_candidates_train_on_a_stored_master(spark, monkeypatch):
+    from tidemark.plans import modelling
+
+    seen = []
+
+    class Job:
+        def __init__(self, *_):
+            pass
+
+        def run(self, master, *_):
+            seen.append(master)
+
+        def decisions(self):
+            return seen[-1]
+
+    orders = spark.createDataFrame([(1, 10), (2, 20), (2, 20)], "o_orderkey long, c long")
+    customer = spark.createDataFrame([(10, "a"), (20, None)], "c long, locality string")
+    monkeypatch.setattr(modelling, "TrainingJob", Job)
+    monkeypatch.setattr(modelling, "sales", lambda *_: orders.join(customer, "c"))
+    out = modelling.train_eval_promote(spark, "")
+    assert len(seen) == 2 and all(m.inputFiles() for m in seen)
+    assert sorted(map(tuple, out.collect()), key=repr) == [(10, 1, "a"), (20, 2, None), (20, 2, None)]
+    assert set(seen[0].inputFiles()) == set(seen[1].inputFiles())
+
+
+def test_fingerprint_sums_are_exact_beyond_doubles(spark):
+    import hashlib
+
+    texts = [str(k) for k in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    digests = [hashlib.md5(f"{len(t)}:{t}".encode()).hexdigest() for t in texts]
+    folds = [sum(int(d[at:at + 15], 16) for d in digests) for at in (0, 15)]
+    row = df.select(lineage.row_digest([F.col("v")]).alias("d")).agg(*lineage._folds(F.col("d"))).first()
+    assert [int(row["fold_a"]), int(row["fold_b"])] == folds

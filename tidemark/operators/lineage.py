@@ -29,11 +29,16 @@ def row_digest(columns: Sequence[Column]) -> Column:
 
 
 def _half(digest: Column, start: int) -> Column:
-    return F.conv(F.substring(digest, start, _HALF), 16, 10).cast("decimal(20,0)")
+    return F.conv(F.substring(digest, start, _HALF), 16, 10).cast("bigint")
 
 
 def _folds(digest: Column) -> tuple[Column, Column]:
-    return tuple(F.coalesce(F.sum(_half(digest, start)), F.lit(0)).cast("decimal(38,0)").alias(name)
+    # Each half adds up as two numbers of 30 bits: plain long sums, exact up to 2^33 rows a group.
+    def fold(half: Column) -> Column:
+        high, low = F.sum(F.shiftright(half, 30)), F.sum(half.bitwiseAND((1 << 30) - 1))
+        return high.cast("decimal(28,0)") * F.lit(1 << 30).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+
+    return tuple(F.coalesce(fold(_half(digest, start)), F.lit(0)).cast("decimal(38,0)").alias(name)
                  for name, start in (("fold_a", 1), ("fold_b", 1 + _HALF)))
 
 
