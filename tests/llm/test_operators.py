@@ -12,7 +12,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact, jaccard, language, licenses, lines, packing, quality, secrets, suffix
+from tidemark.llm import decontaminate, exact, jaccard, language, licenses, lines, packing, quality, queries, secrets, suffix
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, hash string, key string, n int"
 WORDS = "the of and thing ether ought sand river stone mother lamp cold under never green".split()
@@ -75,6 +75,24 @@ def test_repeats_equal_all_windows(docs):
     assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_repeats_query_returns_the_text_that_stays(spark, folder):
+    words = [f"wort{k:03d}" for k in range(250)]
+    # 60 words in 479 bytes go, 57 words in 396 bytes stay; what stands around them differs.
+    long, short = " ".join(words[:60]), " ".join(w[1:] for w in words[60:116]) + " ohne"
+    assert (len(long), len(short.split()), len(short)) == (479, 57, 396)
+    clean = " ".join(words[120:200]) + " é"
+    rows = [(1, f"one.{long}.end"), (2, f"é{long}"), (3, f"ã{long}"), (4, f"a.{short}.b"), (5, f"c!{short}!d"), (6, clean), (7, None), (None, f"({long})")]
+    # The second byte of ê and ª is the same and goes with the passage; the first byte stays.
+    rows += [(8, "ê" + "x" * 400), (9, "ª" + "x" * 400)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    found = queries.op8_suffix_dedup(spark, folder)
+    assert found.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    kept = {r.doc_id: r for r in found.collect()}
+    assert {d: r.kept_text for d, r in kept.items()} == {
+        1: "one..end", 2: "é", 3: "ã", 4: rows[3][1], 5: rows[4][1], 6: clean, 7: "", None: "()", 8: "\ufffd", 9: "\ufffd"}
+    assert [kept[d].n_removed for d in (1, 2, 4, 5, 6, 7, 8)] == [479, 479, 0, 0, 0, 0, 401]
+
+
 def test_packing_loses_no_id(docs):
     import public_tokenizers
 
