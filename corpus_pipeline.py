@@ -8,16 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import measured
 from tidemark.llm import decontaminate, jaccard, lines, packing, quality
 from tidemark.llm.common import numbered, saved, with_row_key
 from tidemark.llm.queries import TOKENIZER, table
 
 
 def _without(docs: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The rows that ``find`` does not name: it sees a number of each row as ``doc_id``, so no row goes with another."""
+    """The rows that ``find`` does not name: it sees a number of each row as ``doc_id``, so no row goes with another.
+
+    The numbers found are written first: the plan that writes the rows stays small, and few numbers move no text.
+    """
     rows = numbered(docs)
-    gone = find(rows.select(F.col("number").alias("doc_id"), "row.text")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return rows.join(gone, F.col("number") == F.col("gone_id"), "left_anti").select(*[
+    gone = saved(find(rows.select(F.col("number").alias("doc_id"), "row.text")).select(
+        F.col("doc_id").alias("gone_id")).distinct(), "pipeline-gone")
+    return rows.join(measured(gone), F.col("number") == F.col("gone_id"), "left_anti").select(*[
         F.col("row")[c].alias(c, metadata=docs.schema[c].metadata) for c in docs.columns])
 
 

@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline as pipeline
 from tidemark.llm.common import ROW_MARK, numbered, with_row_key
+from tidemark.llm.jaccard import jaccard_components
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -76,3 +77,17 @@ def test_a_row_key_of_an_earlier_stage_is_used_and_a_column_of_its_name_stays(sp
     assert left.columns == again.columns and left.schema["row_key_"].metadata == {ROW_MARK: True}
     assert sorted((r.text, r.row_key) for r in left.collect()) == [("a", 5), ("b", 5), ("c", 5)]
     assert numbered(again).select("number").distinct().count() == 3
+
+
+def test_what_a_stage_writes_last_is_a_small_plan(spark, folder):
+    spark.createDataFrame([(1, words(5, 40))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.createDataFrame([(k, words(k % 40, 60) + f"\n{words(k, 6)}", "en") for k in range(60)], SCHEMA)
+
+    def shuffles(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+    # Few rows go: their numbers travel, no text does.
+    for stage in (pipeline.distinct_documents, pipeline.clean_documents):
+        assert shuffles(stage(spark, docs, folder)) == 0
+    assert shuffles(pipeline.new_lines(spark, docs, folder)) <= 2
+    assert shuffles(jaccard_components(docs, size=5, percent=80)) <= 2

@@ -219,10 +219,12 @@ def jaccard_components(docs: DataFrame, size: int = 3, percent: int = 90) -> Dat
         .select("id", "n", "bits", (F.col("lone") + F.col("at")).alias("at"), F.col("g.gram").alias("gram")), "jaccard-prefixes")
     links = _links(prefixes, sets.select("id", "grams"), percent)
     roots = components(links).join(sets.select(F.col("id").alias("node"), "set"), "node").select("set", "root")
-    # Copies first: one row per set, then one per component.
-    own = found.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("own_id")).join(roots, "set", "left")
+    # Copies first: one row per set, then one per component. Both are written, so that no plan repeats what leads to them.
+    own = saved(
+        found.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("own_id")).join(roots, "set", "left"), "jaccard-own")
     least = own.where("root is not null").groupBy("root").agg(F.min("own_id").alias("component_id"))
-    placed = own.join(least, "root", "left").select("set", F.coalesce("component_id", "own_id").alias("component_id"))
+    placed = saved(
+        own.join(least, "root", "left").select("set", F.coalesce("component_id", "own_id").alias("component_id")), "jaccard-placed")
     return found.join(placed, "set", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -166,7 +166,7 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     linked = firsts.join(near, "hash")
     first_of = linked.groupBy("root").agg(F.min("first").alias("first"))
     apart = firsts.join(near, "hash", "left_anti")
-    classes = linked.drop("first").join(first_of, "root").select("hash", "first").unionByName(apart)
+    classes = saved(linked.drop("first").join(first_of, "root").select("hash", "first").unionByName(apart), "lines-classes")
     return every.select("doc_id", "line_no", "hash").join(classes, "hash").select(
         "doc_id", F.col("line_no").cast("long").alias("line_no"),
         F.nullif(F.col("first.doc"), F.lit(LAST)).alias("class_doc"), F.col("first.line").cast("long").alias("class_line"),
@@ -182,8 +182,9 @@ def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MI
     their names, come out as they are.
     """
     rows = numbered(docs)
-    gone = line_classes(rows.select(F.col("number").alias("doc_id"), "row.text"), edits, min_chars).where("not kept").groupBy(
-        F.col("doc_id").alias("gone_id")).agg(F.collect_set(F.col("line_no").cast("int")).alias("gone_lines"))
+    gone = saved(
+        line_classes(rows.select(F.col("number").alias("doc_id"), "row.text"), edits, min_chars).where("not kept").groupBy(
+            F.col("doc_id").alias("gone_id")).agg(F.collect_set(F.col("line_no").cast("int")).alias("gone_lines")), "lines-gone")
     lines = F.split("row.text", "\n", -1)
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone_lines")
     left = F.array_join(F.transform(keep, lambda k: lines[k]), "\n")
